@@ -98,7 +98,9 @@ def main():
                 problems = compare(df, con, registry.ORACLES[key])
             else:
                 problems = [] if df.count() else ["no rows"]
-            rows = ""
+            rows = f"{len(con.execute(registry.ORACLES[key]).fetchall())} rows" if (
+                key in registry.ORACLES
+            ) else ""
         except Exception as error:  # report and go on with the next query
             problems, rows = [f"{type(error).__name__}: {str(error)[:600]}"], ""
         seconds = time.time() - started

@@ -21,6 +21,7 @@ DENSE_RANK = "dense_rank"
 RUNNING_TOTAL = "running_total"
 LAG = "lag"
 LEAD = "lead"
+PEER_FUNCTIONS = {RANK, DENSE_RANK, RUNNING_TOTAL}
 
 PART = "_part"
 
@@ -57,39 +58,45 @@ def _chained_sums(
     return chained.drop(*steps, *sums, *bases)
 
 
-def _carries(local: DataFrame) -> DataFrame:
+def _carries(local: DataFrame, functions: set[str]) -> DataFrame:
     """One row per partition: what the rows in other partitions add to its edge groups."""
 
     def edge(flag: str, value: Column) -> Column:
         return F.max(F.when(F.col(flag), F.struct(value.alias("at"))))["at"]
 
-    group_value = F.struct("_group", "_order")
-    heads = {
-        "head_group": F.col("_group"),
-        "head_value": group_value,
-        "head_sum": F.col("_run_sum"),
-        "head_filled": F.col("_run_filled"),
-        "head_item": F.col("_value"),
-    }
-    tails = {
-        "tail_group": F.col("_group"),
-        "tail_value": group_value,
-        "tail_count": F.col("_run_count"),
-        "tail_sum": F.col("_run_sum"),
-        "tail_filled": F.col("_run_filled"),
-        "tail_peers": F.col("_run_count") - F.col("_rank") + 1,
-        "tail_dense": F.col("_dense"),
-        "tail_item": F.col("_value"),
-    }
+    def tail(value: Column) -> Column:
+        return edge("_is_last", value)
+
+    def head(value: Column) -> Column:
+        return edge("_is_first", value)
+
+    row, rank, item = F.col("_row"), F.col("_rank"), F.col("_value")
+    place = F.struct("_group", "_order")
+    edges = {"head_group": head(F.col("_group")), "tail_group": tail(F.col("_group"))}
+    if functions & PEER_FUNCTIONS:
+        edges |= {"head_value": head(place), "tail_value": tail(place)}
+    if functions & {ROW_NUMBER, RANK}:
+        edges["tail_count"] = tail(row)
+    if RANK in functions:
+        edges["tail_peers"] = tail(row - rank + 1)
+    if DENSE_RANK in functions:
+        edges["tail_dense"] = tail(F.col("_dense"))
+    if RUNNING_TOTAL in functions:
+        for name in ("sum", "filled"):
+            column = F.col(f"_run_{name}")
+            edges |= {f"head_{name}": head(column), f"tail_{name}": tail(column)}
+    if LAG in functions:
+        edges["tail_item"] = tail(item)
+    if LEAD in functions:
+        edges["head_item"] = head(item)
     parts = (
         local.filter(F.col("_is_first") | F.col("_is_last"))
         .groupBy(PART)
-        .agg(
-            *[edge("_is_first", value).alias(name) for name, value in heads.items()],
-            *[edge("_is_last", value).alias(name) for name, value in tails.items()],
-        )
+        .agg(*[value.alias(name) for name, value in edges.items()])
     )
 
+    # A chain links each partition to its neighbour: first along the edge groups, then, where
+    # peers matter, along the edge values.
     line = Window.orderBy(PART)
 
     def before(name: str) -> Column:
@@ -98,63 +105,67 @@ def _carries(local: DataFrame) -> DataFrame:
     def after(name: str) -> Column:
         return F.lead(name).over(line)
 
-    first, last = before(PART).isNull(), after(PART).isNull()
-    parts = parts.withColumns(
-        {
-            "same_group": ~first & before("tail_group").eqNullSafe(F.col("head_group")),
-            "same_value": ~first & before("tail_value").eqNullSafe(F.col("head_value")),
-            "next_same_group": ~last & after("head_group").eqNullSafe(F.col("tail_group")),
-            "next_same_value": ~last & after("head_value").eqNullSafe(F.col("tail_value")),
-            "one_group": F.col("head_group").eqNullSafe(F.col("tail_group")),
+    def equal(one: Column, other: str, neighbour: Column) -> Column:
+        return neighbour.isNotNull() & one.eqNullSafe(F.col(other))
+
+    previous, following = before(PART), after(PART)
+    links = {
+        "same_group": equal(before("tail_group"), "head_group", previous),
+        "one_group": F.col("head_group").eqNullSafe(F.col("tail_group")),
+    }
+    if LEAD in functions:
+        links["next_same_group"] = equal(after("head_group"), "tail_group", following)
+    if functions & PEER_FUNCTIONS:
+        links |= {
+            "same_value": equal(before("tail_value"), "head_value", previous),
+            "next_same_value": equal(after("head_value"), "tail_value", following),
             "one_value": F.col("head_value").eqNullSafe(F.col("tail_value")),
         }
-    ).withColumn(
+    parts = parts.withColumns(links)
+    if DENSE_RANK in functions:
         # A value that began in an earlier partition is not a new one here.
-        "tail_new",
-        F.col("tail_dense") - F.when(F.col("one_group") & F.col("same_value"), 1).otherwise(0),
-    )
-    neighbours = {
-        f"prev_{name}": before(f"tail_{name}")
-        for name in ("count", "sum", "filled", "peers", "new", "item")
-    }
+        again = F.when(F.col("one_group") & F.col("same_value"), 1).otherwise(0)
+        parts = parts.withColumn("tail_new", F.col("tail_dense") - again)
+
+    flags = [c for c in ("one_group", "one_value") if c in parts.columns]
+    tails = [c for c in parts.columns if c.startswith("tail_") and c[5:] not in ("group", "value")]
+    heads = [c for c in parts.columns if c.startswith("head_") and c[5:] not in ("group", "value")]
     parts = parts.withColumns(
         {
-            **neighbours,
-            "prev_one_group": F.coalesce(before("one_group"), F.lit(False)),
-            "prev_one_value": F.coalesce(before("one_value"), F.lit(False)),
-            "next_one_value": F.coalesce(after("one_value"), F.lit(False)),
-            "next_sum": after("head_sum"),
-            "next_filled": after("head_filled"),
-            "next_item": after("head_item"),
+            **{f"prev_{c}": F.coalesce(before(c), F.lit(False)) for c in flags},
+            **{f"next_{c}": F.coalesce(after(c), F.lit(False)) for c in flags},
+            **{f"prev_{c[5:]}": before(c) for c in tails},
+            **{f"next_{c[5:]}": after(c) for c in heads},
         }
     )
-    group_chain = (F.col("same_group"), F.col("prev_one_group"))
-    value_chain = (F.col("same_value"), F.col("prev_one_value"))
-    later_chain = (F.col("next_same_value"), F.col("next_one_value"))
-    parts = _chained_sums(
-        parts,
-        F.col(PART).asc(),
-        {
-            "carry_count": (F.col("prev_count"), *group_chain),
-            "carry_sum": (F.col("prev_sum"), *group_chain),
-            "carry_filled": (F.col("prev_filled"), *group_chain),
-            "carry_new": (F.col("prev_new"), *group_chain),
-            "carry_peers": (F.col("prev_peers"), *value_chain),
-        },
-    )
-    parts = _chained_sums(
-        parts,
-        F.col(PART).desc(),
-        {
-            "ahead_sum": (F.col("next_sum"), *later_chain),
-            "ahead_filled": (F.col("next_filled"), *later_chain),
-        },
-    )
-    return parts.select(
-        PART, "head_group", "head_value", "tail_value", "same_group", "same_value",
-        "next_same_group", "carry_count", "carry_sum", "carry_filled", "carry_new",
-        "carry_peers", "ahead_sum", "ahead_filled", "prev_item", "next_item",
-    )
+    forward = {
+        f"carry_{c[5:]}": (
+            F.col(f"prev_{c[5:]}"),
+            *(
+                (F.col("same_value"), F.col("prev_one_value"))
+                if c == "tail_peers"
+                else (F.col("same_group"), F.col("prev_one_group"))
+            ),
+        )
+        for c in tails
+        if c in ("tail_count", "tail_peers", "tail_new", "tail_sum", "tail_filled")
+    }
+    backward = {
+        f"ahead_{c[5:]}": (
+            F.col(f"next_{c[5:]}"),
+            F.col("next_same_value"),
+            F.col("next_one_value"),
+        )
+        for c in heads
+        if c in ("head_sum", "head_filled")
+    }
+    if forward:
+        parts = _chained_sums(parts, F.col(PART).asc(), forward)
+    if backward:
+        parts = _chained_sums(parts, F.col(PART).desc(), backward)
+    kept = ("head_group", "head_value", "tail_value", "same_group", "same_value",
+            "next_same_group", "prev_item", "next_item", *forward, *backward)
+    return parts.select(PART, *[c for c in kept if c in parts.columns])
 
 
 def spread_window(
@@ -174,13 +185,13 @@ def spread_window(
     split. ``outputs`` maps new column names to the functions of this module.
     """
     shared_folder(df.sparkSession)
-    item = F.col(value) if value else F.lit(None).cast("int")
+    functions = set(outputs.values())
     keyed = df.withColumns(
         {
             "_group": F.struct(*group) if group else F.struct(F.lit(0)),
             "_order": F.struct(*[key.alias(f"k{i}") for i, key in enumerate(order)]),
             "_tie": F.struct(*tie),
-            "_value": item,
+            "_value": F.col(value) if value else F.lit(None).cast("int"),
         }
     )
     # Range partitioning needs flat keys; the structs serve equality at partition edges.
@@ -194,67 +205,63 @@ def spread_window(
     in_part = Window.partitionBy(PART).orderBy("_group", "_order", "_tie")
     by_row = Window.partitionBy(PART, "_group").orderBy("_order", "_tie")
     peers = Window.partitionBy(PART, "_group").orderBy("_order")
-    local = ranged.withColumns(
-        {
-            "_is_first": F.lag(F.lit(1)).over(in_part).isNull(),
-            "_is_last": F.lead(F.lit(1)).over(in_part).isNull(),
-        }
-    ).withColumns(
-        {
-            "_row": F.row_number().over(by_row),
-            "_lag": F.lag("_value").over(by_row),
-            "_lead": F.lead("_value").over(by_row),
-        }
-    ).withColumns(
-        {
-            "_rank": F.rank().over(peers),
-            "_dense": F.dense_rank().over(peers),
-            "_run_count": F.count(F.lit(1)).over(peers),
-            "_run_sum": F.sum("_value").over(peers),
-            "_run_filled": F.count("_value").over(peers),
-        }
-    )
+    local = {
+        "_is_first": F.lag(F.lit(1)).over(in_part).isNull(),
+        "_is_last": F.lead(F.lit(1)).over(in_part).isNull(),
+        "_row": F.row_number().over(by_row),
+    }
+    if LAG in functions:
+        local["_lag"] = F.lag("_value").over(by_row)
+    if LEAD in functions:
+        local["_lead"] = F.lead("_value").over(by_row)
+    if RANK in functions:
+        local["_rank"] = F.rank().over(peers)
+    if DENSE_RANK in functions:
+        local["_dense"] = F.dense_rank().over(peers)
+    if RUNNING_TOTAL in functions:
+        local["_run_sum"] = F.sum("_value").over(peers)
+        local["_run_filled"] = F.count("_value").over(peers)
     # The range bounds come from a sample: pin the rows to their partitions before the carry
     # table and the final columns are both derived from them.
-    local = local.drop("_tie").checkpoint()
+    pinned = ranged.withColumns(local).drop("_tie").checkpoint()
 
-    rows = local.join(F.broadcast(_carries(local)), PART, "left")
-    in_head = F.col("_group").eqNullSafe(F.col("head_group"))
-    place = F.struct("_group", "_order")
-    carried = in_head & F.col("same_group")
-    at_head = place.eqNullSafe(F.col("head_value")) & F.col("same_value")
-    at_tail = place.eqNullSafe(F.col("tail_value"))
+    rows = pinned.join(F.broadcast(_carries(pinned, functions)), PART, "left")
     zero = F.lit(0)
+    carried = F.col("_group").eqNullSafe(F.col("head_group")) & F.col("same_group")
 
     def carry(name: str, when: Column) -> Column:
         return F.when(when, F.col(name)).otherwise(zero)
 
-    answers = {
-        ROW_NUMBER: (F.col("_row") + carry("carry_count", carried)).cast("bigint"),
-        RANK: (
-            F.col("_rank") + carry("carry_count", carried) - carry("carry_peers", at_head)
-        ).cast("bigint"),
-        DENSE_RANK: (
-            F.col("_dense")
-            + carry("carry_new", carried)
-            - F.when(carried & F.col("same_value"), 1).otherwise(0)
-        ).cast("bigint"),
-        # Null until the first value, as a running sum is.
-        RUNNING_TOTAL: F.when(
-            F.col("_run_filled") + carry("carry_filled", carried) + carry("ahead_filled", at_tail)
-            > 0,
-            F.coalesce("_run_sum", zero)
-            + carry("carry_sum", carried)
-            + carry("ahead_sum", at_tail),
-        ),
-        LAG: F.when(carried & (F.col("_row") == 1), F.col("prev_item")).otherwise(F.col("_lag")),
-        LEAD: F.when(
-            F.col("_is_last") & F.col("next_same_group"), F.col("next_item")
-        ).otherwise(F.col("_lead")),
-    }
+    def answer(function: str) -> Column:
+        place = F.struct("_group", "_order")
+        if function == ROW_NUMBER:
+            return (F.col("_row") + carry("carry_count", carried)).cast("bigint")
+        if function == RANK:
+            at_head = place.eqNullSafe(F.col("head_value")) & F.col("same_value")
+            earlier = carry("carry_count", carried) - carry("carry_peers", at_head)
+            return (F.col("_rank") + earlier).cast("bigint")
+        if function == DENSE_RANK:
+            begun = F.when(carried & F.col("same_value"), 1).otherwise(0)
+            return (F.col("_dense") + carry("carry_new", carried) - begun).cast("bigint")
+        if function == RUNNING_TOTAL:
+            # Null until the first value, as a running sum is.
+            at_tail = place.eqNullSafe(F.col("tail_value"))
+            filled = carry("carry_filled", carried) + carry("ahead_filled", at_tail)
+            added = carry("carry_sum", carried) + carry("ahead_sum", at_tail)
+            return F.when(
+                F.col("_run_filled") + filled > 0, F.coalesce("_run_sum", zero) + added
+            )
+        if function == LAG:
+            outside = carried & (F.col("_row") == 1)
+            return F.when(outside, F.col("prev_item")).otherwise(F.col("_lag"))
+        if function == LEAD:
+            outside = F.col("_is_last") & F.col("next_same_group")
+            return F.when(outside, F.col("next_item")).otherwise(F.col("_lead"))
+        raise ValueError(f"no such window function: {function}")
+
     return rows.select(
         *[rows[c] for c in df.columns],
-        *[answers[function].alias(name) for name, function in outputs.items()],
+        *[answer(function).alias(name) for name, function in outputs.items()],
     )
 
 

@@ -76,21 +76,44 @@ def daily_orders(stg_orders: DataFrame) -> DataFrame:
 
 
 def daily_revenue(stg_orders: DataFrame, stg_details: DataFrame) -> DataFrame:
-    measures = {
-        "unique_products_sold": F.count_distinct("product_id"),
-        "total_units_sold": F.sum("quantity"),
-        "total_revenue": F.sum("extended_price"),
-        "gross_revenue": F.sum("line_subtotal"),
-        "total_discounts": F.sum("discount_amount"),
-        "avg_line_item_value": scalars.exact_mean("extended_price"),
+    """Revenue per order day. The sums shrink to one row per order before they meet the orders;
+    the distinct products take a path of their own, three short columns wide."""
+    sums = {
+        "total_units_sold": "quantity",
+        "total_revenue": "extended_price",
+        "gross_revenue": "line_subtotal",
+        "total_discounts": "discount_amount",
+    }
+    counts = {
+        "priced_lines": F.count("extended_price"),
         "discounted_line_items": scalars.count_where(F.col("has_discount")),
         "high_value_line_items": scalars.count_where(F.col("is_high_value_line")),
     }
+    per_order = stg_details.groupBy("order_id").agg(
+        *[F.sum(column).alias(name) for name, column in sums.items()],
+        *[form.alias(name) for name, form in counts.items()],
+    )
     days = stg_orders.select("order_id", F.col("order_day").alias("date"))
-    return (
-        stg_details.join(days, "order_id")
+    money = (
+        per_order.join(days, "order_id")
         .groupBy("date")
-        .agg(*[form.alias(name) for name, form in measures.items()])
+        .agg(*[F.sum(name).alias(name) for name in (*sums, *counts)])
+    )
+    variety = (
+        stg_details.select("order_id", "product_id")
+        .distinct()
+        .join(days, "order_id")
+        .groupBy("date")
+        .agg(F.count_distinct("product_id").alias("unique_products_sold"))
+    )
+    mean_line = F.try_divide(F.col("total_revenue").cast("double"), F.col("priced_lines"))
+    return money.join(variety, "date").select(
+        "date",
+        "unique_products_sold",
+        *sums,
+        mean_line.alias("avg_line_item_value"),
+        "discounted_line_items",
+        "high_value_line_items",
     )
 
 
@@ -108,36 +131,67 @@ def fct_order_performance(stg_orders: DataFrame, stg_details: DataFrame) -> Data
                 "discount_rate_pct": scalars.percent(
                     F.col("total_discounts"), F.col("gross_revenue")
                 ),
-                "grand_total_with_freight": F.col("total_revenue") + F.col("total_freight"),
+                # At 38 digits the sum would lose a decimal place, so both get room to grow.
+                "grand_total_with_freight": F.col("total_revenue").cast("decimal(30,7)")
+                + F.col("total_freight").cast("decimal(30,7)"),
             }
         )
     )
 
 
-def _product_lines(
-    stg_details: DataFrame, stg_orders: DataFrame, stg_customers: DataFrame
-) -> DataFrame:
-    """One row per product and order, with date, customer and country of the order."""
+def _product_sums(stg_details: DataFrame) -> DataFrame:
+    """Measures of the lines of each product: combined on the map side, so that only one row
+    per product and task is shuffled."""
     tier, units = F.col("quantity_tier"), F.col("quantity")
-    tiers = {"bulk": "Bulk Order", "large": "Large Order", "standard": "Standard Order",
-             "small": "Small Order"}
-    pairs = stg_details.groupBy("product_id", "order_id").agg(
-        F.sum("quantity").alias("units"),
-        F.sum("extended_price").alias("revenue"),
-        F.sum("discount_amount").alias("discounts"),
-        F.sum("unit_price").alias("price_sum"),
-        F.count("unit_price").alias("price_rows"),
-        F.max("unit_price").alias("price_max"),
-        F.min("unit_price").alias("price_min"),
-        F.sum("discount").alias("rate_sum"),
-        F.count("discount").alias("rate_rows"),
-        *[scalars.sum_where(tier == label, units).alias(f"{name}_order_units")
-          for name, label in tiers.items()],
+    tiers = {
+        "bulk": "Bulk Order",
+        "large": "Large Order",
+        "standard": "Standard Order",
+        "small": "Small Order",
+    }
+    measures = {
+        "total_units_sold": F.sum(units),
+        "total_revenue": F.sum("extended_price"),
+        "total_discounts_given": F.sum("discount_amount"),
+        "avg_selling_price": scalars.exact_mean("unit_price"),
+        "max_selling_price": F.max("unit_price"),
+        "min_selling_price": F.min("unit_price"),
+        "avg_discount_rate": scalars.exact_mean("discount"),
+        **{
+            f"{name}_order_units": scalars.sum_where(tier == label, units)
+            for name, label in tiers.items()
+        },
+    }
+    return stg_details.groupBy("product_id").agg(
+        *[form.alias(name) for name, form in measures.items()]
     )
+
+
+def _product_reach(
+    stg_details: DataFrame, stg_orders: DataFrame, stg_customers: DataFrame
+) -> DataFrame:
+    """Orders, customers, countries, months and dates of each product.
+
+    Works on the distinct (product, order) pairs, two numbers wide: after that step orders are
+    counted by rows, and the other distinct counts run in one aggregate.
+    """
+    pairs = stg_details.select("product_id", "order_id").distinct()
     placed = stg_orders.select("order_id", "order_date", "customer_id").join(
         stg_customers.select("customer_id", "country"), "customer_id", "left"
     )
-    return pairs.join(placed, "order_id", "left")
+    month = scalars.truncated("month", "order_date")
+    return (
+        pairs.join(placed, "order_id", "left")
+        .groupBy("product_id")
+        .agg(
+            F.count("order_id").alias("times_ordered"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+            F.count_distinct("country").alias("countries_sold_to"),
+            F.min("order_date").alias("first_sale_date"),
+            F.max("order_date").alias("last_sale_date"),
+            F.count_distinct(month).alias("months_with_sales"),
+        )
+    )
 
 
 def product_metrics(
@@ -146,35 +200,16 @@ def product_metrics(
     stg_orders: DataFrame,
     stg_customers: DataFrame,
 ) -> DataFrame:
-    """Sales measures of every product, sold or not.
-
-    Lines are unique per product and order after the first step, so orders are counted by rows;
-    the other three distinct counts run in one aggregate.
-    """
-    month = scalars.truncated("month", "order_date")
-    measures = {
-        "times_ordered": F.count("order_id"),
-        "unique_customers": F.count_distinct("customer_id"),
-        "countries_sold_to": F.count_distinct("country"),
-        "total_units_sold": F.sum("units"),
-        "total_revenue": F.sum("revenue"),
-        "total_discounts_given": F.sum("discounts"),
-        "avg_selling_price": F.try_divide(F.sum("price_sum").cast("double"), F.sum("price_rows")),
-        "max_selling_price": F.max("price_max"),
-        "min_selling_price": F.min("price_min"),
-        "avg_discount_rate": F.try_divide(F.sum("rate_sum").cast("double"), F.sum("rate_rows")),
-        "first_sale_date": F.min("order_date"),
-        "last_sale_date": F.max("order_date"),
-        "months_with_sales": F.count_distinct(month),
-        **{
-            f"{name}_order_units": F.sum(f"{name}_order_units")
-            for name in ("bulk", "large", "standard", "small")
-        },
-    }
-    sold = (
-        _product_lines(stg_details, stg_orders, stg_customers)
-        .groupBy("product_id")
-        .agg(*[form.alias(name) for name, form in measures.items()])
+    """Sales measures of every product, sold or not."""
+    measures = (
+        "times_ordered", "unique_customers", "countries_sold_to", "total_units_sold",
+        "total_revenue", "total_discounts_given", "avg_selling_price", "max_selling_price",
+        "min_selling_price", "avg_discount_rate", "first_sale_date", "last_sale_date",
+        "months_with_sales", "bulk_order_units", "large_order_units", "standard_order_units",
+        "small_order_units",
+    )
+    sold = _product_sums(stg_details).join(
+        _product_reach(stg_details, stg_orders, stg_customers), "product_id", "left"
     )
     counters = (
         "times_ordered", "unique_customers", "countries_sold_to", "months_with_sales",
@@ -249,6 +284,17 @@ def fct_product_sales(
     )
 
 
+def _active_periods(stg_orders: DataFrame) -> DataFrame:
+    """Active days and months per customer. Days nest in months, so each count is a row count
+    of one grouping after the other."""
+    days = stg_orders.groupBy("customer_id", "order_day").agg(F.count(F.lit(1)))
+    month = scalars.truncated("month", "order_day").alias("order_month")
+    months = days.groupBy("customer_id", month).agg(F.count("order_day").alias("days"))
+    return months.groupBy("customer_id").agg(
+        F.sum("days").alias("days"), F.count("order_month").alias("months")
+    )
+
+
 def customer_aggregates(
     stg_customers: DataFrame,
     stg_orders: DataFrame,
@@ -257,17 +303,15 @@ def customer_aggregates(
 ) -> DataFrame:
     """Lifetime measures of every customer.
 
-    The order lines shrink to one row per order, then to one per customer and day, month and
-    at last customer: days and months are counted by rows on the way. Freight is weighted by
+    Order lines shrink to one row per order before they meet the orders. Freight is weighted by
     the lines of its order, as a join to the lines would do; ``freight_grain="order"`` counts
     it once per order.
     """
     weight = F.coalesce("line_count", F.lit(1)) if freight_grain == "line" else F.lit(1)
     weight = weight.cast("int")
-    sums = ("orders", "shipped", "on_time", "value", "lines", "units", "discounts",
-            "freight_sum", "freight_rows")
-    grained = stg_orders.join(joins.order_line_sums(details), "order_id", "left")
-    per_day = grained.groupBy("customer_id", "order_day").agg(
+    measures = stg_orders.join(joins.order_line_sums(details), "order_id", "left").groupBy(
+        "customer_id"
+    ).agg(
         F.count("order_id").alias("orders"),
         scalars.count_where(F.col("is_shipped")).alias("shipped"),
         scalars.count_where(F.col("shipping_performance") == "On Time").alias("on_time"),
@@ -277,21 +321,10 @@ def customer_aggregates(
         F.sum("discount_amount").alias("discounts"),
         F.sum(F.col("freight") * weight).alias("freight_sum"),
         F.sum(F.when(F.col("freight").isNotNull(), weight)).alias("freight_rows"),
-    )
-    month = scalars.truncated("month", "order_day").alias("order_month")
-    per_month = per_day.groupBy("customer_id", month).agg(
-        *[F.sum(name).alias(name) for name in sums],
-        F.count("order_day").alias("days"),
         F.min("order_day").alias("first_day"),
         F.max("order_day").alias("last_day"),
     )
-    per_customer = per_month.groupBy("customer_id").agg(
-        *[F.sum(name).alias(name) for name in sums],
-        F.sum("days").alias("days"),
-        F.count("order_month").alias("months"),
-        F.min("first_day").alias("first_day"),
-        F.max("last_day").alias("last_day"),
-    )
+    per_customer = measures.join(_active_periods(stg_orders), "customer_id", "left")
     zero = F.lit(0)
     return stg_customers.join(per_customer, "customer_id", "left").select(
         "customer_id",

@@ -64,18 +64,29 @@ class RetailTables:
 
     @property
     def order_details(self) -> DataFrame:
-        quantity = F.col("l_quantity").cast("int")
-        subtotal = _cents("l_extendedprice").cast("decimal(16,4)")
-        discount = F.col("l_discount").cast("decimal(4,2)") * F.lit("2.5").cast("decimal(2,1)")
-        return self.file("lineitem").select(
+        """Lines. Prices are whole hundredths of a cent, so they are taken over as integers and
+        scaled to decimals: exact, and cheaper than reading each double as decimal text."""
+        scale = F.lit("0.0001").cast("decimal(4,4)")
+        whole = self.file("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
-            F.when(quantity != 0, F.round(subtotal / quantity, 4))
-            .cast("decimal(14,4)")
-            .alias("unit_price"),
-            quantity.alias("quantity"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("price_units"),
+            F.rint(F.col("l_discount") * 100).cast("int").alias("discount_points"),
+        )
+        per_unit = F.expr("(2 * price_units + quantity) div nullif(2 * quantity, 0)")
+        discount = (F.col("discount_points") * 25).cast("decimal(6,0)") * F.lit("0.001").cast(
+            "decimal(3,3)"
+        )
+        return whole.select(
+            "order_id",
+            "product_id",
+            (per_unit.cast("decimal(14,0)") * scale).cast("decimal(14,4)").alias("unit_price"),
+            "quantity",
             discount.cast("decimal(5,3)").alias("discount"),
-            subtotal.alias("line_subtotal"),
+            (F.col("price_units").cast("decimal(14,0)") * scale)
+            .cast("decimal(16,4)")
+            .alias("line_subtotal"),
         )
 
     @property

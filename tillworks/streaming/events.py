@@ -36,19 +36,22 @@ CORRUPT = "_corrupt"
 def decode(records: DataFrame, schema: str) -> DataFrame:
     """Topic records (key, value) as typed events.
 
-    A value that is not a JSON record of the schema keeps its text in ``_corrupt``.
+    A value that is not a JSON record of the schema keeps its text in ``_corrupt``. The record
+    goes through ``inline``, past which no filter is pushed: every text is parsed once.
     """
     columns = f"{schema}, {CORRUPT} string"
-    event = F.from_json(
-        F.col("value").cast("string"), columns, {"columnNameOfCorruptRecord": CORRUPT}
-    )
     text = F.col("value").cast("string")
-    parsed = records.select(F.col("key").cast("string").alias("key"), text.alias("text"),
-                            event.alias("e"))
-    unread = F.when(F.col("e").isNull(), F.coalesce("text", F.lit("")))
-    return parsed.select("key", "e.*", unread.alias("_unread")).withColumn(
-        CORRUPT, F.coalesce(CORRUPT, "_unread")
-    ).drop("_unread")
+    event = F.from_json(text, columns, {"columnNameOfCorruptRecord": CORRUPT})
+    blank = text.isNull() | (F.trim(text) == "")
+    return (
+        records.select(
+            F.col("key").cast("string").alias("key"),
+            F.when(blank, F.coalesce(text, F.lit(""))).alias("_blank"),
+            F.inline(F.array(event)),
+        )
+        .withColumn(CORRUPT, F.coalesce(CORRUPT, "_blank"))
+        .drop("_blank")
+    )
 
 
 def readable(events: DataFrame) -> DataFrame:
