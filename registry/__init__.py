@@ -12,6 +12,7 @@ from registry import (  # noqa: F401  (importing a module registers its queries)
     marts,
     quality,
     scalars,
+    sinks,
     sources,
     windows,
 )

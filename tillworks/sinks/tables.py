@@ -62,9 +62,10 @@ def typed(df: DataFrame, table: str) -> DataFrame:
     return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def create_result_tables(spark: SparkSession, database: str) -> None:
+def create_result_tables(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the typed result tables, partitioned by day."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")
     for name, columns in RESULT_TABLES.items():
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns})"

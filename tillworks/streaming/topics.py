@@ -161,18 +161,34 @@ def compact_tally(spark: SparkSession, output: str, name: str, keys: list[str],
 def start_state_tally(
     events: DataFrame,
     tally: Callable[[DataFrame], DataFrame],
-    name: str,
-    checkpoint: str | None = None,
+    output: str,
+    checkpoint: str,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
-    """Running counts in the state store, shown as an in-memory table for small key sets
-    (event types, countries)."""
-    writer = tally(events).writeStream.outputMode("complete").format("memory").queryName(name)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
+    """Running counts in the state store, for small key sets (event types, countries).
+
+    Every batch writes the full result under ``output/batch_id=N``; the latest one counts.
+    """
+
+    def write(result: DataFrame, batch_id: int) -> None:
+        result.write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+
+    writer = (
+        tally(events)
+        .writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+    )
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def latest_state(spark: SparkSession, output: str) -> DataFrame:
+    """The counts that the last batch of a state tally wrote."""
+    states = spark.read.parquet(output)
+    newest = states.agg(F.max("batch_id")).scalar()
+    return states.filter(F.col("batch_id") == newest).drop("batch_id")
+
+
 def run_for(query: StreamingQuery, seconds: int, report: Callable[[], DataFrame]) -> DataFrame:
     """Let a query run for a fixed time, stop it, and return the final report."""
     query.awaitTermination(seconds)
