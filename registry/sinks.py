@@ -61,12 +61,13 @@ def json_append(t):
        CROSS JOIN (VALUES (DATE '2001-08-01'), (DATE '2001-08-02')) AS v(d)""",
 )
 def dated_rerun(t):
-    path = _folder(t, "k04")
+    path, base = _folder(t, "k04"), _folder(t, "k04-sales")
     sales = jobs.sales_by_category_summary(t.order_details, t.products, t.categories).select(
         "category_name", "units_sold"
     )
+    sinks.write_files(sales, base)
     for day in ("2001-08-01", "2001-08-02", "2001-08-02"):
-        sinks.write_day(sales, path, day)
+        sinks.write_day(t.spark.read.parquet(base), path, day)
     return t.spark.read.parquet(path)
 
 
@@ -85,8 +86,7 @@ def typed_result_table(t):
     database = f"analytics_{uuid.uuid4().hex}"
     sinks.create_result_tables(t.spark, database, _folder(t, "k05"))
     sales = jobs.sales_by_country(t.orders, t.order_details, t.customers)
-    dated = sales.withColumn("date", F.lit(AS_OF).cast("date"))
-    sinks.load_result_table(dated, database, "daily_country_sales")
+    sinks.load_result_table(sales, database, "daily_country_sales", AS_OF)
     return t.spark.table(f"{database}.daily_country_sales").drop("created_at")
 
 

@@ -73,12 +73,15 @@ def create_result_tables(spark: SparkSession, database: str, location: str | Non
         )
 
 
-def load_result_table(df: DataFrame, database: str, table: str) -> None:
-    """Insert one run's rows; days that are already there are replaced."""
-    spark = df.sparkSession
-    target = f"{database}.{table}"
-    rows = typed(df, table).select(*spark.table(target).columns)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
+def load_result_table(df: DataFrame, database: str, table: str, date: str) -> None:
+    """Insert the result of one day. A rerun replaces that day and leaves the others alone."""
+    dated = df.withColumn("date", F.lit(date).cast("date"))
+    rows = typed(dated, table).drop("date")
+    df.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {database}.{table} PARTITION (date = DATE '{date}')"
+        f" SELECT {', '.join(rows.columns)} FROM {{rows}}",
+        rows=rows,
+    )
 
 
 def layer_name(base: str, layer: str | None, production: bool = False) -> str:
