@@ -19,6 +19,9 @@ def con(sf_dir):
 @pytest.mark.parametrize("key", sorted(registry.QUERIES))
 def test_query(spark, sf_dir, con, key):
     df = registry.QUERIES[key](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
     if key in registry.ORACLES:
         assert compare(df, con, registry.ORACLES[key]) == []
     else:

@@ -1,6 +1,7 @@
 """Aggregate forms shared by the jobs. All combine on the map side before any shuffle."""
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,13 @@ def latest_date_and_age(df: DataFrame, column: str, as_of: str) -> DataFrame:
     )
 
 
+def side_by_side(rows: Sequence[DataFrame]) -> DataFrame:
+    """One-row results with different columns as one row, without a join: stacked, and then
+    the only value of each column is taken."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def value_set(df: DataFrame, column: str, name: str) -> DataFrame:
     """One row: the sorted set of a column's values, which must be a small vocabulary."""
     values = df.select(column).distinct()

@@ -1,9 +1,9 @@
 """Joins of the retail model.
 
 Joins that feed an aggregate first reduce the many side to one row per key, so a key that
-holds a third of the rows costs no more than any other. Joins whose result is row by row keep
-their rows and leave splitting of hot keys to adaptive execution, which sees the real sizes.
-Only tables of a fixed size carry a broadcast hint; for all others Spark checks the size.
+holds a third of the rows costs no more than any other. Joins whose result is row by row have
+the many side on the inner or preserved side, where adaptive execution splits hot keys by their
+real sizes. Only tables of a fixed size carry a broadcast hint; for all others Spark checks it.
 """
 
 from pyspark.sql import DataFrame
@@ -155,25 +155,33 @@ def order_totals(details: DataFrame) -> DataFrame:
     )
 
 
+def with_children(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
+    """Every parent with its children, parents without any included: a left join in two parts.
+
+    Adaptive execution splits a hot key on the many side of an inner join, but not on the outer
+    side of a left join. So the matches come from an inner join, and the parents without
+    children from an anti join with the distinct keys.
+    """
+    matched = child.join(parent, key)
+    childless = parent.join(child.select(key).distinct(), key, "left_anti")
+    rows = matched.unionByName(childless, allowMissingColumns=True)
+    return rows.select(*parent.columns, *[c for c in child.columns if c != key])
+
+
 def customer_orders(customers: DataFrame, orders: DataFrame, details: DataFrame) -> DataFrame:
     """Every customer with its orders, and every order with the sums of its lines."""
-    return customers.join(
-        orders.join(order_line_sums(details), "order_id", "left"), "customer_id", "left"
-    )
+    with_lines = orders.join(order_line_sums(details), "order_id", "left")
+    return with_children(customers, with_lines, "customer_id")
 
 
 def product_order_lines(products: DataFrame, details: DataFrame, orders: DataFrame) -> DataFrame:
     """Every product with its lines, and every line with date and customer of its order."""
-    lines = staging.stg_order_details(details).join(
-        orders.select("order_id", "order_date", "customer_id"), "order_id", "left"
-    )
-    return products.select("product_id", "product_name").join(
-        lines.select(
-            "product_id", "order_id", "quantity", "extended_price", "order_date", "customer_id"
-        ),
-        "product_id",
-        "left",
+    lines = (
+        staging.stg_order_details(details)
+        .select("product_id", "order_id", "quantity", "extended_price")
+        .join(orders.select("order_id", "order_date", "customer_id"), "order_id", "left")
     )
+    return with_children(products.select("product_id", "product_name"), lines, "product_id")
 
 
 def orders_with_totals(orders: DataFrame, details: DataFrame) -> DataFrame:

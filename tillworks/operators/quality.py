@@ -282,34 +282,51 @@ def failures(df: DataFrame, test: ColumnTest) -> DataFrame:
     return violations.agg(F.count(F.lit(1)).alias("failures"))
 
 
-def run_suite(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest]) -> DataFrame:
-    """All declared tests as one result table.
+def _table_results(df: DataFrame, keys: Sequence[str], tests: Sequence[ColumnTest]) -> DataFrame:
+    """One row with the failures of all tests of a table.
 
-    The row tests of a table share one scan; each uniqueness test adds one aggregate.
+    Without a uniqueness test that is one aggregate. With one, the row tests are counted along
+    with the rows of each key value, so the table is still read only once.
     """
+    counts = [F.count_if(_broken(t)).alias(f"t{i}") for i, t in enumerate(tests)]
+    if not keys:
+        return df.agg(*counts)
+    key = keys[0]
+    per_value = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *counts)
+    repeated = F.col("_key").isNotNull() & (F.col("_n") > 1)
+    first = per_value.agg(
+        F.count_if(repeated).alias("u0"),
+        *[F.coalesce(F.sum(f"t{i}"), F.lit(0)).alias(f"t{i}") for i in range(len(tests))],
+    )
+    others = [
+        not_unique(df, k).agg(F.count(F.lit(1)).alias(f"u{i}"))
+        for i, k in enumerate(keys[1:], start=1)
+    ]
+    return aggregates.side_by_side([first, *others])
+
 
-    def labels(test: ColumnTest) -> list[Column]:
-        return [
+def run_suite(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest]) -> DataFrame:
+    """All declared tests as one result table: one pass over each table, and one more for every
+    uniqueness test after the first."""
+
+    def result(test: ColumnTest, failures: str) -> Column:
+        return F.struct(
             F.lit(test.table).alias("table_name"),
             F.lit(test.column).alias("column_name"),
             F.lit(test.name).alias("test_name"),
-        ]
+            F.col(failures).cast("bigint").alias("failures"),
+        )
 
     results = []
     for table, df in tables.items():
+        unique_tests = [t for t in tests if t.table == table and t.name == "unique"]
         row_tests = [t for t in tests if t.table == table and t.name != "unique"]
-        if row_tests:
-            counted = df.agg(
-                *[F.count_if(_broken(t)).alias(f"t{i}") for i, t in enumerate(row_tests)]
-            )
-            outcome = [
-                F.struct(*labels(t), F.col(f"t{i}").alias("failures"))
-                for i, t in enumerate(row_tests)
-            ]
-            results.append(counted.select(F.inline(F.array(*outcome))))
-        for test in tests:
-            if test.table == table and test.name == "unique":
-                results.append(failures(df, test).select(*labels(test), "failures"))
+        if not unique_tests and not row_tests:
+            continue
+        counted = _table_results(df, [t.column for t in unique_tests], row_tests)
+        outcome = [result(t, f"u{i}") for i, t in enumerate(unique_tests)]
+        outcome += [result(t, f"t{i}") for i, t in enumerate(row_tests)]
+        results.append(counted.select(F.inline(F.array(*outcome))))
     return reduce(DataFrame.unionByName, results).withColumn("passed", F.col("failures") == 0)
 
 

@@ -144,7 +144,7 @@ def user_segments(
 
 def daily_sales_summary(orders: DataFrame, details: DataFrame, as_of: str) -> DataFrame:
     """One row. Products and orders are counted by grouping, so no task holds the distinct set."""
-    day = F.lit(as_of).cast("date").alias("date")
+    day = F.lit(as_of).cast("date")
     lines = staging.stg_order_details(details)
     per_order = lines.groupBy("order_id").agg(
         F.sum("extended_price").alias("order_total"),
@@ -153,7 +153,6 @@ def daily_sales_summary(orders: DataFrame, details: DataFrame, as_of: str) -> Da
         F.count("discount").alias("discount_rows"),
     )
     money = per_order.agg(
-        day,
         F.sum("order_total").alias("total_revenue"),
         F.sum("units").alias("total_items_sold"),
         scalars.exact_mean("order_total").alias("avg_order_value"),
@@ -161,27 +160,22 @@ def daily_sales_summary(orders: DataFrame, details: DataFrame, as_of: str) -> Da
             "avg_discount"
         ),
     )
-    variety = lines.agg(day, F.count_distinct("product_id").alias("unique_products"))
+    variety = lines.agg(F.count_distinct("product_id").alias("unique_products"))
     placed = orders.agg(
-        day,
         F.count(F.lit(1)).alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
         F.sum("freight").alias("total_freight"),
     )
-    return (
-        placed.join(money, "date")
-        .join(variety, "date")
-        .select(
-            "date",
-            "total_orders",
-            "total_revenue",
-            "total_items_sold",
-            "unique_customers",
-            "unique_products",
-            "avg_order_value",
-            "avg_discount",
-            "total_freight",
-        )
+    return aggregates.side_by_side([placed, money, variety]).select(
+        day.alias("date"),
+        "total_orders",
+        "total_revenue",
+        "total_items_sold",
+        "unique_customers",
+        "unique_products",
+        "avg_order_value",
+        "avg_discount",
+        "total_freight",
     )
 
 
@@ -454,12 +448,10 @@ def executive_summary(
 
     Both sides go through their small middle grain (country, category) on the way to one row.
     """
-    day = F.lit(as_of).cast("date").alias("as_of")
     countries = metrics.groupBy("customer_country").agg(
         F.count("customer_id").alias("customers"), F.sum("total_revenue").alias("country_revenue")
     )
     customer_side = countries.agg(
-        day,
         F.sum("customers").alias("total_customers"),
         F.sum("country_revenue").alias("total_revenue"),
         ordering.first_by("customer_country", "country_revenue", "top_country"),
@@ -477,7 +469,6 @@ def executive_summary(
         best,
     )
     product_side = categories.agg(
-        day,
         F.sum("products").alias("total_products"),
         F.sum("category_revenue").alias("total_product_revenue"),
         F.max("best").alias("best"),
@@ -485,8 +476,8 @@ def executive_summary(
         F.max("category_revenue").alias("top_category_revenue"),
         F.sum("alerts").alias("stock_alerts"),
     )
-    return customer_side.join(product_side, "as_of").select(
-        "as_of",
+    return aggregates.side_by_side([customer_side, product_side]).select(
+        F.lit(as_of).cast("date").alias("as_of"),
         "total_customers",
         "total_revenue",
         "avg_customer_value",
