@@ -105,8 +105,8 @@ def order_freshness(t):
 @query(
     "q05_event_freshness",
     f"""SELECT 'event_freshness' AS check_name, age AS value, age < 60 AS passed FROM (
-            SELECT date_sub('second', max(created_at), TIMESTAMP '{EVENTS_NOW}')
-                       / CAST(60 AS DOUBLE) AS age
+            SELECT CAST(date_diff('microsecond', max(created_at), TIMESTAMP '{EVENTS_NOW}')
+                        AS DOUBLE) / 1000000 / 60 AS age
             FROM activity)""",
 )
 def event_freshness(t):

@@ -49,10 +49,12 @@ def epoch_millis_date(value: Column | str) -> Column:
 
 
 def truncated(unit: str, value: Column | str) -> Column:
-    """Start of the unit: a date for day and above, a timestamp without zone for hours."""
+    """Start of the unit: a date for day and above, a timestamp for hours. No step goes through
+    the session's time zone."""
     value = _col(value)
     if unit == "hour":
-        return F.date_trunc("hour", value).cast("timestamp_ntz")
+        second = F.extract(F.lit("SECOND"), value)
+        return value - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(value), second)
     if unit == "day":
         return value.cast("date")
     return F.trunc(value, unit)
@@ -78,9 +80,9 @@ def age_days(value: Column | str, as_of: str | Column) -> Column:
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:
-    """Minutes between two timestamps without zone."""
-    seconds = F.timestamp_diff("SECOND", _col(start), _col(end))
-    return seconds / 60
+    """Minutes between two timestamps, with their fraction."""
+    seconds = (_col(end) - _col(start)).cast("interval second").cast("decimal(18,6)")
+    return seconds.cast("double") / 60
 
 
 # Numbers

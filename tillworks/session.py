@@ -5,13 +5,25 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "tillworks", **conf: str) -> SparkSession:
+def shuffle_partitions(input_bytes: int, per_partition: int = 256 << 20) -> int:
+    """Partitions for shuffling an input of this size: about 256 MB each, 200 to 50,000.
+
+    Adaptive execution merges partitions that turn out small but never splits all of them, so
+    the number has to be high enough at the start.
+    """
+    return min(max(200, -(-input_bytes // per_partition)), 50_000)
+
+
+def build_session(
+    app_name: str = "tillworks", input_bytes: int = 0, **conf: str
+) -> SparkSession:
     """Get or create a session in which results do not depend on the host's time zone."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
