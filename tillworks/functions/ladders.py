@@ -1,6 +1,7 @@
 """Classification ladders: the first rung that holds gives the label.
 
-Thresholds are arguments. Labels are the fixed vocabulary of the model.
+Thresholds are arguments. The labels and the default thresholds are fixed values: the vocabulary
+that reports, column tests and dashboards share.
 """
 
 from collections.abc import Iterable, Sequence
@@ -114,6 +115,7 @@ def is_high_value_line(net: Column, bound: float = 1000) -> Column:
 
 # Customers
 
+# The countries of each region group.
 NORTH_AMERICA = ("USA", "Canada", "Mexico")
 EUROPE = (
     "UK", "Germany", "France", "Spain", "Italy", "Belgium", "Switzerland", "Austria", "Poland",

@@ -330,6 +330,7 @@ def run_suite(tables: Mapping[str, DataFrame], tests: Sequence[ColumnTest]) -> D
     return reduce(DataFrame.unionByName, results).withColumn("passed", F.col("failures") == 0)
 
 
+# The accepted labels of the declared tests.
 SEGMENTS = ("VIP", "High Value", "Medium Value", "Low Value", "No Purchase")
 ACTIVITY = ("Active", "At Risk", "Dormant", "Churned")
 STATUSES = ("completed", "failed", "pending", "cancelled")

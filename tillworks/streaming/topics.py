@@ -144,18 +144,47 @@ def start_tallies(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _tally_parts(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """The counts to add up: the newest merged state, if any, and the batches after it."""
+    batches = spark.read.parquet(f"{output}/{name}")
+    merged = f"{output}/{name}.merged"
+    if not _folder_exists(spark, merged):
+        return batches
+    states = spark.read.parquet(merged)
+    newest = states.agg(F.max("up_to")).scalar()
+    state = states.filter(F.col("up_to") == newest).withColumnRenamed("up_to", "batch_id")
+    return batches.filter(F.col("batch_id") > newest).unionByName(state)
+
+
+def _added(parts: DataFrame, keys: list[str]) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in parts.columns if c not in (*keys, "batch_id")]
+    return parts.groupBy(*keys).agg(*sums)
+
+
 def merged_tally(spark: SparkSession, output: str, name: str, keys: list[str]) -> DataFrame:
     """The counts of all batches, added up per key."""
-    counts = spark.read.parquet(f"{output}/{name}").drop("batch_id")
-    sums = [F.sum(c).alias(c) for c in counts.columns if c not in keys]
-    return counts.groupBy(*keys).agg(*sums)
+    return _added(_tally_parts(spark, output, name), keys)
 
 
-def compact_tally(spark: SparkSession, output: str, name: str, keys: list[str], target: str) -> None:
-    """Write the merged counts as one tally of their own, so that reports read less."""
-    merged_tally(spark, output, name, keys).write.mode("overwrite").parquet(
-        f"{target}/{name}/batch_id=-1"
-    )
+def compact_tally(spark: SparkSession, output: str, name: str, keys: list[str]) -> int:
+    """Merge the batches so far, so that reports read one state and the batches after it.
+
+    Returns the last batch merged; folders up to it are no longer read and can be removed.
+    """
+    parts = _tally_parts(spark, output, name)
+    last = parts.agg(F.max("batch_id")).first()[0]
+    upto = parts.filter(F.col("batch_id") <= last)
+    state = _added(upto, keys)
+    # Sums of decimals widen: a state keeps the column types of the batches.
+    types = dict(parts.dtypes)
+    state = state.select(*[F.col(c).cast(types[c]).alias(c) for c in state.columns])
+    state.write.mode("overwrite").parquet(f"{output}/{name}.merged/up_to={last}")
+    return last
 
 
 def start_state_tally(
