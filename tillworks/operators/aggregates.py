@@ -58,6 +58,13 @@ def side_by_side(rows: Sequence[DataFrame]) -> DataFrame:
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
+def merged_by(keys: Sequence[str], results: Sequence[DataFrame]) -> DataFrame:
+    """Results with the same keys and different columns as one table, null keys included."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
+    values = [c for c in stacked.columns if c not in keys]
+    return stacked.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values])
+
+
 def value_set(df: DataFrame, column: str, name: str) -> DataFrame:
     """One row: the sorted set of a column's values, which must be a small vocabulary."""
     values = df.select(column).distinct()

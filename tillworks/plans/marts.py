@@ -1,10 +1,28 @@
 """Mart models. Results are unsorted: order belongs to the report, not to a stored table."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions import ladders, scalars
-from tillworks.operators import filters, joins
+from tillworks.operators import aggregates, filters, joins
+
+
+def _per_day(
+    df: DataFrame, day: str, reach: Mapping[str, Column], measures: Mapping[str, Column]
+) -> DataFrame:
+    """Distinct counts and measures per day, in two aggregates.
+
+    Distinct counts copy each row once per counted column. Apart from the measures those copies
+    hold only the ids, and the measures shrink to one row per day before their shuffle.
+    """
+    date = F.col(day).alias("date")
+    parts = [
+        df.groupBy(date).agg(*[form.alias(name) for name, form in forms.items()])
+        for forms in (reach, measures)
+    ]
+    return aggregates.merged_by(["date"], parts)
 
 
 def fct_daily_sales(stg_transactions: DataFrame, start_date: str) -> DataFrame:
@@ -19,10 +37,12 @@ def fct_daily_sales(stg_transactions: DataFrame, start_date: str) -> DataFrame:
         f"{name}_tier_revenue": scalars.sum_where((tier == name) & done, amount)
         for name in ("high", "medium", "low")
     }
-    measures = {
+    reach = {
         "total_transactions": F.count_distinct("transaction_id"),
         "unique_users": F.count_distinct("user_id"),
         "unique_products": F.count_distinct("product_id"),
+    }
+    measures = {
         "total_revenue": F.sum(amount),
         "avg_transaction_value": scalars.exact_mean(amount),
         "max_transaction_value": F.max(amount),
@@ -32,14 +52,10 @@ def fct_daily_sales(stg_transactions: DataFrame, start_date: str) -> DataFrame:
         **by_tier,
         **revenue,
     }
-    return (
-        filters.since(stg_transactions, "transaction_date", start_date)
-        .groupBy(F.col("transaction_day").alias("date"))
-        .agg(*[form.alias(name) for name, form in measures.items()])
-        .withColumn(
-            "completion_rate",
-            scalars.percent(F.col("completed_transactions"), F.col("total_transactions")),
-        )
+    recent = filters.since(stg_transactions, "transaction_date", start_date)
+    return _per_day(recent, "transaction_day", reach, measures).withColumn(
+        "completion_rate",
+        scalars.percent(F.col("completed_transactions"), F.col("total_transactions")),
     )
 
 
@@ -48,10 +64,12 @@ def daily_orders(stg_orders: DataFrame) -> DataFrame:
     rows counts orders."""
     performance, days = F.col("shipping_performance"), F.col("days_to_ship")
     shipped = F.col("is_shipped")
-    measures = {
-        "total_orders": F.count("order_id"),
+    reach = {
         "unique_customers": F.count_distinct("customer_id"),
         "unique_employees": F.count_distinct("employee_id"),
+    }
+    measures = {
+        "total_orders": F.count("order_id"),
         "shipped_orders": scalars.count_where(shipped),
         "unshipped_orders": scalars.count_where(~shipped),
         "on_time_orders": scalars.count_where(performance == "On Time"),
@@ -63,15 +81,15 @@ def daily_orders(stg_orders: DataFrame) -> DataFrame:
         "avg_freight_per_order": scalars.exact_mean("freight"),
         "high_freight_orders": scalars.count_where(F.col("freight_tier") == "High Freight"),
     }
-    per_day = stg_orders.groupBy(F.col("order_day").alias("date")).agg(
-        *[form.alias(name) for name, form in measures.items()]
-    )
+    per_day = _per_day(stg_orders, "order_day", reach, measures)
     return per_day.select(
         "date",
         scalars.truncated("month", "date").alias("order_month"),
         F.year("date").alias("year"),
         F.month("date").alias("month"),
-        *measures,
+        "total_orders",
+        *reach,
+        *[name for name in measures if name != "total_orders"],
     )
 
 
@@ -412,12 +430,19 @@ def user_transactions(stg_transactions: DataFrame) -> DataFrame:
 
 
 def user_activity(stg_events: DataFrame) -> DataFrame:
-    return stg_events.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("total_events"),
+    """Event measures per user. Events shrink to one row per user, day and session before the
+    two distinct counts."""
+    visits = stg_events.groupBy("user_id", "event_day", "session_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.min("event_timestamp").alias("first_event"),
+        F.max("event_timestamp").alias("last_event"),
+    )
+    return visits.groupBy("user_id").agg(
+        F.sum("events").alias("total_events"),
         F.count_distinct("event_day").alias("active_event_days"),
         F.count_distinct("session_id").alias("total_sessions"),
-        F.min("event_timestamp").alias("first_event_date"),
-        F.max("event_timestamp").alias("last_event_date"),
+        F.min("first_event").alias("first_event_date"),
+        F.max("last_event").alias("last_event_date"),
     )
 
 
