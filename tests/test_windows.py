@@ -83,7 +83,8 @@ def test_global_rank_and_ntile(spark, n, partitions):
 
 
 def test_descending_puts_nulls_last(spark):
-    df = spark.createDataFrame([(1, "a", 1, None), (2, "a", 1, 5), (3, "a", 1, 9)], "id long, g string, d int, x int")
+    rows = [(1, "a", 1, None), (2, "a", 1, 5), (3, "a", 1, 9)]
+    df = spark.createDataFrame(rows, "id long, g string, d int, x int")
     got = w.global_rank(df, w.descending("x"), ["id"], rank="pos", partitions=3)
     assert {r["id"]: r["pos"] for r in got.collect()} == {3: 1, 2: 2, 1: 3}
 

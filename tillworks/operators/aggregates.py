@@ -12,18 +12,23 @@ from tillworks.functions import scalars
 def five_numbers(value: str, names: Sequence[str]) -> list[Column]:
     """Count, sum, mean, maximum and minimum of a column under the given names."""
     column = F.col(value)
-    forms = [F.count(column), F.sum(column), scalars.exact_mean(column), F.max(column), F.min(column)]
+    mean = scalars.exact_mean(column)
+    forms = [F.count(column), F.sum(column), mean, F.max(column), F.min(column)]
     return [form.alias(name) for form, name in zip(forms, names, strict=True)]
 
 
-def distinct_counts(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str | Column]) -> DataFrame:
+def distinct_counts(
+    df: DataFrame, keys: Sequence[str], columns: Mapping[str, str | Column]
+) -> DataFrame:
     """Exact distinct counts per key."""
     return df.groupBy(*keys).agg(
         *[F.count_distinct(column).alias(name) for name, column in columns.items()]
     )
 
 
-def by_dict(df: DataFrame, keys: Sequence[str], forms: Mapping[str, str], names: Mapping[str, str]) -> DataFrame:
+def by_dict(
+    df: DataFrame, keys: Sequence[str], forms: Mapping[str, str], names: Mapping[str, str]
+) -> DataFrame:
     """Aggregate in dict form, then rename Spark's output columns."""
     out = df.groupBy(*keys).agg(dict(forms))
     for old, new in names.items():

@@ -11,8 +11,18 @@ from pyspark.sql import functions as F
 from tillworks.sources import fixed_values, readers, schemas
 
 
-def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _quoted(values) -> str:
+    return ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in values)
+
+
+def pick(values, index: Column) -> Column:
+    """The fixed value at a position counted from 0, null beyond the list."""
+    return F.get(F.expr(f"array({_quoted(values)})"), index.cast("int"))
+
+
+def _lookup(pairs, key: Column) -> Column:
+    """The fixed value of a key, null for other keys."""
+    return F.expr(f"map({_quoted(v for pair in pairs for v in pair)})")[key]
 
 
 def _cents(column: str, precision: int = 12) -> Column:
@@ -59,7 +69,7 @@ class RetailTables:
             F.concat(F.lit("City "), area.cast("string")).alias("ship_city"),
             F.lit(None).cast("string").alias("ship_region"),
             F.lpad((key % 100000).cast("string"), 5, "0").alias("ship_postal_code"),
-            _pick(fixed_values.COUNTRIES, area).alias("ship_country"),
+            pick(fixed_values.COUNTRIES, area).alias("ship_country"),
         )
 
     @property
@@ -92,14 +102,12 @@ class RetailTables:
     @property
     def products(self) -> DataFrame:
         key, size = F.col("p_partkey"), F.col("p_size")
-        category = F.create_map(
-            *[F.lit(v) for row in fixed_values.CATEGORIES for v in (row[1], row[0])]
-        )
+        category = _lookup(((c[1], c[0]) for c in fixed_values.CATEGORIES), F.col("p_type"))
         return self.file("part").select(
             key.alias("product_id"),
             F.col("p_name").alias("product_name"),
             (key % 10).alias("supplier_id"),
-            category[F.col("p_type")].alias("category_id"),
+            category.alias("category_id"),
             F.col("p_brand").alias("quantity_per_unit"),
             (_cents("p_retailprice", 10) * (1 + size % 7)).cast("decimal(18,4)").alias("unit_price"),
             ((key * 7 + 3) % 60).cast("int").alias("units_in_stock"),
@@ -138,9 +146,7 @@ class RetailTables:
     @property
     def customers(self) -> DataFrame:
         key = F.col("c_custkey")
-        titles = F.create_map(
-            *[F.lit(v) for pair in fixed_values.CONTACT_TITLES.items() for v in pair]
-        )
+        title = _lookup(fixed_values.CONTACT_TITLES.items(), F.col("c_mktsegment"))
         # One row per nation: a fixed 25, and Spark checks the size before it broadcasts.
         nations = self.file("nation").select("n_nationkey", F.col("n_name").alias("city"))
         located = self.file("customer").join(
@@ -150,12 +156,12 @@ class RetailTables:
             key.alias("customer_id"),
             F.col("c_name").alias("company_name"),
             F.concat(F.lit("Contact "), key.cast("string")).alias("contact_name"),
-            titles[F.col("c_mktsegment")].alias("contact_title"),
+            title.alias("contact_title"),
             F.concat((key % 100).cast("string"), F.lit(" Market Street")).alias("address"),
             F.col("city"),
             F.lit(None).cast("string").alias("region"),
             F.lpad((key % 100000).cast("string"), 5, "0").alias("postal_code"),
-            _pick(fixed_values.COUNTRIES, F.col("c_nationkey")).alias("country"),
+            pick(fixed_values.COUNTRIES, F.col("c_nationkey")).alias("country"),
             F.concat(F.lit("555-"), F.lpad((key % 10000).cast("string"), 4, "0")).alias("phone"),
             F.lit(None).cast("string").alias("fax"),
         )
@@ -165,7 +171,7 @@ class RetailTables:
         return self.file("supplier").select(
             F.col("s_suppkey").alias("supplier_id"),
             F.col("s_name").alias("company_name"),
-            _pick(fixed_values.COUNTRIES, F.col("s_nationkey")).alias("country"),
+            pick(fixed_values.COUNTRIES, F.col("s_nationkey")).alias("country"),
         )
 
     # Raw activity tables
@@ -194,8 +200,8 @@ class RetailTables:
         page = F.concat(F.lit("/p"), F.get_json_object("props", "$.k"))
         session = F.concat(F.lit("s"), (F.col("user_id") % 50).cast("string"))
         client = F.struct(
-            _pick(fixed_values.BROWSERS, key % 4).alias("browser"),
-            _pick(fixed_values.DEVICES, key % 3).alias("device"),
+            pick(fixed_values.BROWSERS, key % 4).alias("browser"),
+            pick(fixed_values.DEVICES, key % 3).alias("device"),
         )
         return self.file("events").select(
             "event_id",
@@ -219,7 +225,7 @@ class RetailTables:
             F.lower("c_name").alias("username"),
             F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
             F.date_add(start, (key % 365).cast("int")).cast("string").alias("registration_date"),
-            _pick(fixed_values.COUNTRIES, F.col("c_nationkey")).alias("country"),
+            pick(fixed_values.COUNTRIES, F.col("c_nationkey")).alias("country"),
         )
 
     @property

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.sources import fixed_values
-from tillworks.sources.tables import RetailTables, _pick
+from tillworks.sources.tables import RetailTables, pick
 
 MONEY = "decimal(14,2)"
 
@@ -118,7 +118,7 @@ def order_events(tables: RetailTables) -> DataFrame:
     def new(value: Column) -> Column:
         return only("new_order", value)
 
-    carrier = _pick(carriers, F.col("ship_via") - 1)
+    carrier = pick(carriers, F.col("ship_via") - 1)
     return base.withColumn("total", total).select(
         F.concat(F.lit("evt_"), number).alias("event_id"),
         F.col("kind").alias("event_type"),
@@ -131,7 +131,7 @@ def order_events(tables: RetailTables) -> DataFrame:
         new(F.when(key % 40 != 0, F.col("ship_country"))).alias("customer_country"),
         new(F.col("ship_city")).alias("customer_city"),
         new(F.col("employee_id")).alias("employee_id"),
-        new(_pick(staff, F.col("employee_id") - 1)).alias("employee_name"),
+        new(pick(staff, F.col("employee_id") - 1)).alias("employee_name"),
         new(F.col("ship_via")).alias("shipper_id"),
         new(carrier).alias("shipper_name"),
         new(F.col("order_date").cast("string")).alias("order_date"),
@@ -142,7 +142,7 @@ def order_events(tables: RetailTables) -> DataFrame:
         new((F.col("total") + freight).cast(MONEY)).alias("grand_total"),
         new(F.size("items")).alias("item_count"),
         new(units).alias("units_ordered"),
-        only("payment_confirmed", _pick(fixed_values.PAYMENT_METHODS, key % 4)).alias(
+        only("payment_confirmed", pick(fixed_values.PAYMENT_METHODS, key % 4)).alias(
             "payment_method"
         ),
         only(
@@ -157,7 +157,7 @@ def order_events(tables: RetailTables) -> DataFrame:
         only("order_delivered", key % 2 == 0).alias("signature_required"),
         only(
             "order_cancelled",
-            _pick(fixed_values.CANCELLATION_REASONS, F.floor(key / 20) % 5),
+            pick(fixed_values.CANCELLATION_REASONS, F.floor(key / 20) % 5),
         ).alias("cancellation_reason"),
         only("order_cancelled", F.lit("pending")).alias("refund_status"),
     )
@@ -176,8 +176,8 @@ def user_events(tables: RetailTables) -> DataFrame:
         F.lit("USD").alias("currency"),
     )
     client = F.struct(
-        _pick(fixed_values.BROWSERS, key % 4).alias("browser"),
-        _pick(fixed_values.DEVICES, key % 3).alias("device"),
+        pick(fixed_values.BROWSERS, key % 4).alias("browser"),
+        pick(fixed_values.DEVICES, key % 3).alias("device"),
         F.concat(F.lit("192.168.0."), (key % 256).cast("string")).alias("ip_address"),
     )
     return raw.withColumn("kind", kind).select(
@@ -189,7 +189,7 @@ def user_events(tables: RetailTables) -> DataFrame:
         F.concat(F.lit("session_"), (F.col("user_id") % 50).cast("string")).alias("session_id"),
         client.alias("metadata"),
         F.when(F.col("kind") == "purchase", purchase).alias("purchase_data"),
-        F.when(F.col("kind") == "search", _pick(fixed_values.SEARCH_QUERIES, key % 5)).alias(
+        F.when(F.col("kind") == "search", pick(fixed_values.SEARCH_QUERIES, key % 5)).alias(
             "search_query"
         ),
     )
