@@ -88,3 +88,34 @@ def test_global_rank_sends_only_carries_to_one_task(t, large):
     )
     for part in plan(ranked).split("Exchange SinglePartition")[1:]:
         assert "HashAggregate" in part or "SortAggregate" in part
+
+
+def test_hot_keys_are_split_at_run_time(spark, large):
+    """One customer holds a third of the orders; thresholds are lowered to the size of a test."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = 60_000
+        hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)
+        orders = spark.range(0, rows, 1, 8).select(
+            F.col("id").alias("order_id"),
+            hot.alias("customer_id"),
+            F.md5(F.col("id").cast("string")).alias("note"),
+        )
+        customers = spark.range(0, 600, 1, 4).select(
+            F.col("id").alias("customer_id"), F.concat(F.lit("c"), "id").alias("company_name")
+        )
+        joined = joins.with_children(customers, orders, "customer_id")
+        collected = joined.collect()
+        assert "skew=true" in plan(joined)
+        assert len(collected) == rows + 100  # the customers 500 to 599 have no orders
+        assert sum(r.customer_id == 7 for r in collected) >= rows // 3
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
