@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillworks.llm import simhash, substring
+from tillworks.llm import packing, simhash, substring, tokencount
 
 QUERIES = {}
 ORACLES = {}
@@ -18,6 +18,12 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+def _tokenizer(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -31,3 +37,18 @@ def op1(spark, folder):
 @query("op6_simhash_near_dedup")
 def op6(spark, folder):
     return simhash.near_groups(_table(spark, folder, "documents"))
+
+
+@query("op7_token_counts")
+def op7(spark, folder):
+    return tokencount.token_counts(
+        _table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"), limit=4096
+    )
+
+
+@query("op8_packing")
+def op8(spark, folder):
+    pieces = packing.pack(
+        _table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"), length=4096, end=2
+    )
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

@@ -26,3 +26,9 @@ def stored(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucket_bits(spark: SparkSession) -> int:
+    """Buckets for data that travels packed, as a power of two: one for each shuffle partition,
+    32 at least, so that a bucket is about a partition's share of the data."""
+    return max(5, (shuffle_partitions(spark) - 1).bit_length())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.arrowtext import ranges, rolling_hashes, slices, text_bytes, word_hashes
-from tillworks.llm.storage import shuffle_partitions
+from tillworks.llm.storage import bucket_bits
 
 #: Hashes travel as their low 7 bytes, and as the bucket that their high bits name.
 _TALLY = (
@@ -19,12 +19,6 @@ _TALLY = (
 _MARKS = "id bigint, bucket int, places binary"
 
 
-def _bits(spark) -> int:
-    """Buckets as a power of two: one for each shuffle partition, 32 at least. With more than 256
-    the residue is longer than what is needed; the hash has 64 bits in all."""
-    return max(5, (shuffle_partitions(spark) - 1).bit_length())
-
-
 def _windows(data, offsets, width):
     """Hashes of all windows of all rows, and how many each row has."""
     words, counts = word_hashes(data, offsets)
@@ -219,7 +213,7 @@ def remove_repeated_passages(
     share is sent once per slice of documents (4 MB of text), so no bucket grows with the number of
     copies.
     """
-    bits = _bits(docs.sparkSession)
+    bits = bucket_bits(docs.sparkSession)
 
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     marks = (
