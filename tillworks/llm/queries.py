@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillworks.llm import packing, simhash, substring, tokencount
+from tillworks.llm import language, packing, quality, simhash, substring, tokencount
 
 QUERIES = {}
 ORACLES = {}
@@ -52,3 +52,27 @@ def op8(spark, folder):
         _table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"), length=4096, end=2
     )
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def _remainder(n):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query("op3_language_id")
+def op3(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = language.fit(docs.where(_remainder(4) != 2).select("doc_id", "text", "lang"))
+    return language.predict(docs, model).withColumn("held_out", F.coalesce(_remainder(4) == 2, F.lit(False)))
+
+
+@query("op4_quality_classifier")
+def op4(spark, folder):
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(_remainder(3) != 1)
+    model = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    return quality.score(docs, model).select(
+        "doc_id",
+        F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
