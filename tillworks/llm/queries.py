@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillworks.llm import language, packing, quality, simhash, substring, tokencount
+from tillworks.llm import html_text, language, packing, quality, simhash, substring, tokencount
 
 QUERIES = {}
 ORACLES = {}
@@ -76,3 +76,9 @@ def op4(spark, folder):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op9_html_extraction")
+def op9(spark, folder):
+    texts = html_text.extract_text(_table(spark, folder, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("bigint"))
