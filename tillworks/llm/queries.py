@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillworks.llm import html_text, language, packing, quality, simhash, substring, tokencount
+from tillworks.llm import html_text, language, packing, quality, simhash, substring, tokencount, vectors
 
 QUERIES = {}
 ORACLES = {}
@@ -82,3 +82,8 @@ def op4(spark, folder):
 def op9(spark, folder):
     texts = html_text.extract_text(_table(spark, folder, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op10_embedding_near_dedup")
+def op10(spark, folder):
+    return vectors.near_groups(_table(spark, folder, "embeddings"), least=0.9)
