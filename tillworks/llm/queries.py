@@ -2,7 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from tillworks.llm import html_text, language, packing, quality, simhash, substring, tokencount, vectors
+from tillworks.llm import (
+    decontamination,
+    html_text,
+    language,
+    lines,
+    packing,
+    quality,
+    simhash,
+    substring,
+    tokencount,
+    vectors,
+)
 
 QUERIES = {}
 ORACLES = {}
@@ -87,3 +98,41 @@ def op9(spark, folder):
 @query("op10_embedding_near_dedup")
 def op10(spark, folder):
     return vectors.near_groups(_table(spark, folder, "embeddings"), least=0.9)
+
+
+@query("op2_benchmark_decontamination")
+def op2(spark, folder):
+    return decontamination.find_passages(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), rate=0.1
+    )
+
+
+@query(
+    "op5_line_dedup",
+    """
+    WITH split AS (
+        SELECT doc_id, source, text, string_split(text, chr(10)) AS parts FROM documents
+    ), rows AS (
+        SELECT doc_id, source, place, parts[place] AS raw,
+               trim(parts[place], chr(32) || chr(9) || chr(13) || chr(11) || chr(12)) AS line
+        FROM (SELECT doc_id, source, parts, unnest(range(1, len(parts) + 1)) AS place FROM split)
+    ), common AS (
+        SELECT line, min(doc_id) AS first FROM rows WHERE line <> ''
+        GROUP BY line HAVING count(DISTINCT source) >= 10
+    ), marked AS (
+        SELECT r.doc_id, r.place, r.raw, r.line <> '' AS solid,
+               coalesce(r.doc_id > c.first, false) AS gone
+        FROM rows r LEFT JOIN common c ON r.line = c.line
+    ), totals AS (
+        SELECT doc_id, count(*) FILTER (WHERE solid) AS n_lines,
+               count(*) FILTER (WHERE gone) AS n_removed,
+               coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text
+        FROM marked GROUP BY doc_id
+    )
+    SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed,
+           CASE WHEN d.text IS NULL THEN NULL ELSE t.text END AS text
+    FROM documents d LEFT JOIN totals t ON d.doc_id = t.doc_id
+    """,
+)
+def op5(spark, folder):
+    return lines.remove_boilerplate(_table(spark, folder, "documents"), min_sites=10)
