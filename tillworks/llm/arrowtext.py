@@ -3,6 +3,8 @@
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 4 << 20
 #: Space, tab, line feed, vertical tab, form feed and carriage return.
@@ -120,3 +122,9 @@ def ranges(counts: np.ndarray) -> np.ndarray:
     """0, 1, ..., c - 1 for each count c, one after the other."""
     total = int(counts.sum())
     return np.arange(total) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def carried_columns(names) -> Column:
+    """Columns that go through a function on batches untouched, as one struct ``carried``."""
+    packed = F.struct(*[F.col(f"`{n}`") for n in names]) if names else F.lit(None).cast("string")
+    return packed.alias("carried")

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillworks.llm.arrowtext import mix, slices
+from tillworks.llm.arrowtext import carried_columns, mix, slices
 
 UNKNOWN = "und"
 _FACTORS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -171,15 +171,21 @@ def _predict(batches, model):
                     part.column(0),
                     pa.array(languages[pick], pa.string()),
                     pa.array(best.astype(np.float64)),
+                    part.column(2),
                 ],
-                names=["doc_id", "lang_pred", "score"],
+                names=["doc_id", "lang_pred", "score", "carried"],
             )
 
 
 def predict(
-    docs: DataFrame, model: LanguageFilter, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: LanguageFilter,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """``doc_id, lang_pred, score`` of every row.
+    """``doc_id, lang_pred, score`` of every row, and with ``carry`` a struct ``carried`` of those
+    columns.
 
     Each n-gram of the whole text is looked up once for all languages; a language's count of hits
     is corrected for those expected by chance, and the most hits decide (the language with more
@@ -191,6 +197,13 @@ def predict(
     table; other columns are ignored.
     """
     rows = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        carried_columns(carry),
     )
-    return rows.mapInArrow(partial(_predict, model=model), "doc_id bigint, lang_pred string, score double")
+    kind = rows.schema["carried"].dataType.simpleString()
+    out = rows.mapInArrow(
+        partial(_predict, model=model),
+        f"doc_id bigint, lang_pred string, score double, carried {kind}",
+    )
+    return out if carry else out.drop("carried")

@@ -4,7 +4,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.arrowtext import slices
+from tillworks.llm.arrowtext import carried_columns, slices
 from tillworks.llm.storage import stored
 
 _TRIMMED = " \t\r\v\f"
@@ -96,12 +96,11 @@ def remove_boilerplate(
     repeated rows get the same result. Rows with a null id count for the sites and keep all lines.
     An empty table gives an empty table; other columns are ignored.
     """
-    carried = F.struct(*[F.col(c) for c in carry]) if carry else F.lit(None).cast("string")
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),
         F.col(site_col).cast("string").alias("site"),
-        carried.alias("carried"),
+        carried_columns(carry),
     )
     lines = _lines(rows.drop("carried"))
     # The common lines come first: the join is then between two reduced sides, and a line that is

@@ -29,7 +29,8 @@ def query(key: str, sql: str | None = None):
     return register
 
 
-def _tokenizer(name):
+def tokenizer(name):
+    """The place of a public tokenizer file, the same on every executor."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -53,14 +54,14 @@ def op6(spark, folder):
 @query("op7_token_counts")
 def op7(spark, folder):
     return tokencount.token_counts(
-        _table(spark, folder, "documents"), _tokenizer("piece_bpe_32k.model"), limit=4096
+        _table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"), limit=4096
     )
 
 
 @query("op8_packing")
 def op8(spark, folder):
     pieces = packing.pack(
-        _table(spark, folder, "documents"), _tokenizer("word_bpe_49k.json"), length=4096, end=2
+        _table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"), length=4096, end=2
     )
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
