@@ -58,18 +58,20 @@ def mean(x: str) -> str:
     return f"CAST(sum({x}) AS DOUBLE) / count({x})"
 
 
-def rounded(x: str, places: int = 2) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), {places}) AS DOUBLE)"
+def _whole(x: str) -> str:
+    """An amount of up to seven decimal places in its smallest unit."""
+    return f"CAST(({x}) * CAST(10000000 AS BIGINT) AS HUGEINT)"
 
 
-def quotient(a: str, b: str, places: int = 2, otherwise: str = "0") -> str:
-    q = rounded(f"CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE)", places)
-    return f"CASE WHEN {b} > 0 THEN {q} ELSE {otherwise} END"
+def quotient(a: str, b: str, places: int = 2, otherwise: str = "0", times: int = 1) -> str:
+    """Long division: the whole part, and one more if the rest is at least half the divisor."""
+    x, y = f"({_whole(a)} * {times * 10**places})", _whole(b)
+    digits = f"{x} // {y} + CASE WHEN {x} % {y} * 2 >= {y} THEN 1 ELSE 0 END"
+    return f"CASE WHEN {b} > 0 THEN CAST({digits} AS DOUBLE) / {10**places} ELSE {otherwise} END"
 
 
 def share(a: str, b: str, places: int = 2) -> str:
-    q = rounded(f"CAST({a} AS DOUBLE) * 100.0 / CAST({b} AS DOUBLE)", places)
-    return f"CASE WHEN {b} > 0 THEN {q} ELSE 0 END"
+    return quotient(a, b, places, times=100)
 
 
 def dbl(x: str) -> str:

@@ -278,17 +278,24 @@ def first_of_sorted(t):
     )
 
 
+#: Labels of the counted tables, and their names in the SQL model.
+COUNTED = {
+    "Order Details": "lines",
+    "Orders": "sale_orders",
+    "Customers": "customers",
+    "Products": "products",
+    "Suppliers": "suppliers",
+    "Employees": "employees",
+    "Shippers": "shippers",
+    "Categories": "categories",
+}
+
+
 @query(
     "u01_table_counts",
-    """SELECT 'Categories' AS table_name, count(*) AS record_count FROM categories
-       UNION ALL SELECT 'Suppliers', count(*) FROM suppliers
-       UNION ALL SELECT 'Products', count(*) FROM products
-       UNION ALL SELECT 'Customers', count(*) FROM customers
-       UNION ALL SELECT 'Employees', count(*) FROM employees
-       UNION ALL SELECT 'Shippers', count(*) FROM shippers
-       UNION ALL SELECT 'Orders', count(*) FROM sale_orders
-       UNION ALL SELECT 'Order Details', count(*) FROM lines
-       ORDER BY table_name""",
+    f"""SELECT unnest({list(COUNTED)}) AS table_name,
+               unnest([{", ".join(f"(SELECT count(*) FROM {t})" for t in COUNTED.values())}])
+                   AS record_count""",
 )
 def table_counts(t):
     return unions.table_counts(

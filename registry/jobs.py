@@ -1,6 +1,6 @@
 """The named analytics jobs and the staging models."""
 
-from registry.core import AS_OF, big, dbl, mean, query, quotient, rounded
+from registry.core import AS_OF, big, dbl, mean, query, quotient
 from tillworks.plans import jobs, staging
 
 PROMO = "PROMO"
@@ -209,7 +209,7 @@ PRODUCT_STOCK = f"""
     f"""WITH a AS ({PRODUCT_STOCK})
         SELECT product_id, product_name, {dbl("total_revenue")} AS total_revenue,
                {big("total_units_sold")} AS total_units_sold, units_in_stock, inventory_status,
-               {rounded("units_in_stock / (CAST(total_units_sold AS DOUBLE) / 30)", 1)}
+               {quotient("units_in_stock * 30", "total_units_sold", 1, "NULL")}
                    AS stock_coverage_orders
         FROM a""",
 )
@@ -232,7 +232,7 @@ def product_stock(t):
         SELECT category_name, count(product_id) AS products_in_category,
                {dbl("sum(total_revenue)")} AS category_revenue,
                {big("sum(total_units_sold)")} AS category_units_sold,
-               {mean("CAST(avg_discount_rate AS DECIMAL(18,9))")} AS avg_category_discount,
+               round(avg(avg_discount_rate), 9) AS avg_category_discount,
                {quotient("sum(total_revenue)", "count(product_id)")} AS revenue_per_product
         FROM s GROUP BY 1 ORDER BY sum(total_revenue) DESC""",
 )

@@ -60,11 +60,14 @@ def test_only_fixed_dimensions_carry_a_broadcast_hint(t, large):
     assert text.count("BroadcastExchange") == 1  # categories
 
 
-def test_order_performance_never_shuffles_whole_lines(t, large):
+def test_order_performance_shuffles_sums_and_two_ids_of_a_line(t, large):
     df = marts.fct_order_performance(
         staging.stg_orders(t.orders), staging.stg_order_details(t.order_details)
     )
-    assert reduced_before_shuffle(plan(df), "l_orderkey")
+    text = plan(df)
+    for scan in re.finditer(r"FileScan parquet \[[^\]]*l_orderkey.*?ReadSchema: struct<([^>]*)>", text):
+        ids_only = set(re.findall(r"(\w+):", scan.group(1))) == {"l_orderkey", "l_partkey"}
+        assert ids_only or "HashAggregate" in text[text.rindex("Exchange", 0, scan.start()) : scan.start()]
 
 
 def test_hot_side_of_outer_joins_can_be_split(t, large):
@@ -75,11 +78,26 @@ def test_hot_side_of_outer_joins_can_be_split(t, large):
     assert not re.search(r"SortMergeJoin \[customer_id#\d+L?\].*LeftOuter", text)
 
 
-def test_bounded_id_list_is_broadcast_and_a_long_one_is_not(t, large):
+def test_id_lists_carry_no_hint(t, large):
     ids = t.orders.limit(500)
-    assert "BroadcastHashJoin" in plan(joins.details_of(t.order_details, ids, at_most=500))
-    many = joins.BROADCAST_IDS + 1
-    assert "BroadcastHashJoin" not in plan(joins.details_of(t.order_details, ids, at_most=many))
+    assert "BroadcastHashJoin" not in plan(joins.details_of(t.order_details, ids))
+
+
+def scans(df, table):
+    return plan(df).count(f"/{table}.parquet")
+
+
+def test_category_summary_reads_the_lines_once(t, large):
+    df = jobs.sales_by_category_summary(t.order_details, t.products, t.categories)
+    assert scans(df, "lineitem") == 1
+
+
+def test_daily_revenue_reads_the_lines_twice_and_does_not_exchange_them_for_repeats(t, large):
+    df = marts.daily_revenue(staging.stg_orders(t.orders), staging.stg_order_details(t.order_details))
+    assert scans(df, "lineitem") == 2
+    assert "hashpartitioning(order_id#" in plan(df)
+    # No exchange by order and product together: repeats go in the distinct count.
+    assert not re.search(r"hashpartitioning\(order_id#\d+L?, product_id", plan(df))
 
 
 def test_global_rank_sends_only_carries_to_one_task(t, large):

@@ -106,4 +106,10 @@ def test_daily_etl(spark, sf_dir):
 def test_shuffle_partitions_follow_the_input():
     assert session.shuffle_partitions(0) == 200
     assert session.shuffle_partitions(1 << 40) == 4096
-    assert session.shuffle_partitions(100 << 40) == 50_000
+    assert session.shuffle_partitions(100 << 40) == 409_600
+
+
+def test_a_running_session_is_left_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert session.build_session("other", input_bytes=1 << 50) is spark
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -1,5 +1,7 @@
 """Scalar column functions. All are built from Spark's own expressions."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -89,8 +91,22 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
 
 
 def half_up(value: Column, places: int) -> Column:
-    """Rounded half up. The value passes through decimal, so that x.xx5 is what it looks like."""
-    return F.round(value.cast("decimal(18,6)"), places).cast("double")
+    """A double rounded half up, once, at its shortest decimal form: x.xx5 is what it looks like."""
+    return F.round(value.cast("double"), places)
+
+
+# Exact for whole numbers and decimals of up to 9 places and 19 digits before the point.
+_EXACT = "decimal(28,9)"
+
+
+def _quotient(part: Column, whole: Column, places: int, times: int) -> Column:
+    """``times * part / whole`` rounded half up, away from zero: twice the scaled part and one
+    whole are divided by two wholes, in whole numbers, so that nothing is rounded before. Null
+    when the whole is not positive."""
+    whole = F.when(whole > 0, whole).cast(_EXACT)
+    scaled = F.abs(part.cast(_EXACT)) * F.lit(Decimal(2 * times * 10**places))
+    steps = F.call_function("div", scaled + whole, whole + whole)
+    return F.signum(part.cast("double")) * steps / 10**places
 
 
 def exact_mean(value: Column | str) -> Column:
@@ -100,15 +116,15 @@ def exact_mean(value: Column | str) -> Column:
 
 
 def ratio(part: Column, whole: Column, places: int, otherwise: float | None = 0.0) -> Column:
-    """``part / whole`` rounded, or ``otherwise`` when the whole is not positive."""
-    quotient = part.cast("double") / whole.cast("double")
-    return F.when(whole > 0, half_up(quotient, places)).otherwise(F.lit(otherwise).cast("double"))
+    """``part / whole`` rounded, or ``otherwise`` when the whole is not positive. Both sides are
+    whole numbers or decimals."""
+    quotient = _quotient(part, whole, places, 1)
+    return F.when(whole > 0, quotient).otherwise(F.lit(otherwise).cast("double"))
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:
     """Share of a whole in percent, 0 when the whole is not positive."""
-    share = part.cast("double") * F.lit(100.0) / whole.cast("double")
-    return F.when(whole > 0, half_up(share, places)).otherwise(F.lit(0.0))
+    return F.when(whole > 0, _quotient(part, whole, places, 100)).otherwise(F.lit(0.0))
 
 
 def completeness(nulls: Column, rows: Column, columns: int) -> Column:

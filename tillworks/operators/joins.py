@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from tillworks.functions import scalars
 from tillworks.plans import staging
 
-# Up to this many rows an id list is broadcast; above it, it is joined by shuffle.
-BROADCAST_IDS = 100_000
-
 
 def order_context(
     orders: DataFrame, customers: DataFrame, employees: DataFrame, shippers: DataFrame
@@ -209,12 +206,9 @@ def orphan_count(
     )
 
 
-def details_of(details: DataFrame, orders: DataFrame, at_most: int | None = None) -> DataFrame:
-    """Lines of the given orders. ``at_most`` states how many orders there can be."""
-    ids = orders.select("order_id")
-    if at_most is not None and at_most <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return details.join(ids, "order_id", "left_semi")
+def details_of(details: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines of the given orders; adaptive execution broadcasts the ids if they are few."""
+    return details.join(orders.select("order_id"), "order_id", "left_semi")
 
 
 def rows_of_customers(rows: DataFrame, customers: DataFrame) -> DataFrame:
@@ -245,9 +239,9 @@ def customers_who_ordered(customers: DataFrame, orders: DataFrame, first: str, l
 def with_group_share(df: DataFrame, group: str, measure: str, total: str, share: str) -> DataFrame:
     """Add the total of a measure per group and each row's percent of it.
 
-    For groups that come from a dimension of fixed size: the totals are no larger than it.
+    The totals are summed before the shuffle and joined by their real size.
     """
     totals = df.groupBy(group).agg(F.sum(measure).alias(total))
-    return df.join(F.broadcast(totals), group, "left").withColumn(
+    return df.join(totals, group, "left").withColumn(
         share, scalars.percent(F.col(measure), F.col(total))
     )

@@ -95,7 +95,8 @@ def daily_orders(stg_orders: DataFrame) -> DataFrame:
 
 def daily_revenue(stg_orders: DataFrame, stg_details: DataFrame) -> DataFrame:
     """Revenue per order day. The sums shrink to one row per order before they meet the orders;
-    the distinct products take a path of their own, three short columns wide."""
+    the distinct products take a path of their own, two short columns wide: the lines meet their
+    orders as they are, and repeats go in the one distinct count."""
     sums = {
         "total_units_sold": "quantity",
         "total_revenue": "extended_price",
@@ -119,7 +120,6 @@ def daily_revenue(stg_orders: DataFrame, stg_details: DataFrame) -> DataFrame:
     )
     variety = (
         stg_details.select("order_id", "product_id")
-        .distinct()
         .join(days, "order_id")
         .groupBy("date")
         .agg(F.count_distinct("product_id").alias("unique_products_sold"))
@@ -276,7 +276,6 @@ def fct_product_sales(
     revenue, units = F.col("total_revenue"), F.col("total_units_sold")
     months, times = F.col("months_with_sales"), F.col("times_ordered")
     discounts = F.col("total_discounts_given")
-    daily_units = units / months / 30
     return shared.withColumns(
         {
             "revenue_per_unit": scalars.ratio(revenue, units, 2),
@@ -287,7 +286,7 @@ def fct_product_sales(
             "days_since_last_sale": scalars.age_days("last_sale_day", as_of),
             "days_of_stock_remaining": F.when(
                 (units > 0) & (months > 0),
-                scalars.half_up(F.col("units_in_stock") / daily_units, 1),
+                scalars.ratio(F.col("units_in_stock") * months * 30, units, 1),
             ),
         }
     ).withColumns(

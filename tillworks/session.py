@@ -6,18 +6,22 @@ from pyspark.sql import SparkSession
 
 
 def shuffle_partitions(input_bytes: int, per_partition: int = 256 << 20) -> int:
-    """Partitions for shuffling an input of this size: about 256 MB each, 200 to 50,000.
+    """Partitions for shuffling an input of this size: about 256 MB each, 200 at least.
 
     Adaptive execution merges partitions that turn out small but never splits all of them, so
     the number has to be high enough at the start.
     """
-    return min(max(200, -(-input_bytes // per_partition)), 50_000)
+    return max(200, -(-input_bytes // per_partition))
 
 
 def build_session(
     app_name: str = "tillworks", input_bytes: int = 0, **conf: str
 ) -> SparkSession:
-    """Get or create a session in which results do not depend on the host's time zone."""
+    """The running session as it is, or a new one in which results do not depend on the host's
+    time zone."""
+    running = SparkSession.getActiveSession()
+    if running is not None:
+        return running
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
