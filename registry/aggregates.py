@@ -230,9 +230,7 @@ def distinct_rows(t):
 
 @query(
     "a16_value_set",
-    """SELECT string_agg(event_type, ',' ORDER BY event_type) AS event_types
-       FROM (SELECT DISTINCT event_type FROM activity)""",
+    "SELECT DISTINCT event_type AS kind FROM activity WHERE event_type IS NOT NULL",
 )
 def value_set(t):
-    kinds = aggregates.value_set(t.user_events, "event_type", "event_types")
-    return kinds.select(F.array_join("event_types", ",").alias("event_types"))
+    return aggregates.value_set(t.user_events, "event_type", "kind")

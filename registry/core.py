@@ -249,35 +249,31 @@ MODEL = {
         FROM transactions t
         LEFT JOIN users u ON t.user_id = u.user_id
         LEFT JOIN goods g ON t.product_id = g.product_id""",
-    "order_feed": """
-        SELECT *, 'Customer#' || lpad(CAST(customer_id AS VARCHAR), 9, '0') AS customer_name,
-               CASE WHEN order_id % 40 <> 0 THEN ship_country ELSE 'Unknown' END AS country,
-               CASE WHEN order_id % 200 = 199 THEN NULL
-                    WHEN order_id % 200 = 179 THEN 'order_returned'
-                    WHEN order_id % 20 <= 9 THEN 'new_order'
-                    WHEN order_id % 20 <= 13 THEN 'payment_confirmed'
-                    WHEN order_id % 20 <= 16 THEN 'order_shipped'
-                    WHEN order_id % 20 <= 18 THEN 'order_delivered'
-                    ELSE 'order_cancelled' END AS event_type
-        FROM sale_orders""",
     "feed_items": """
-        SELECT order_id, product_id, quantity,
-               round((5 + product_id * CAST(1.5 AS DECIMAL(2,1))) * quantity
-                     * (1 - step * CAST(0.05 AS DECIMAL(3,2))), 2) AS line_total
-        FROM (SELECT order_id, CAST((order_id * 7 + position * 11) % 50 AS INTEGER) AS product_id,
-                     CAST((order_id + position) % 20 + 1 AS INTEGER) AS quantity,
-                     CAST((order_id + position) % 3 AS INTEGER) AS step
-              FROM (SELECT order_id, unnest(range(1, order_id % 5 + 2)) AS position
-                    FROM order_feed WHERE event_type = 'new_order'))""",
+        SELECT order_id, product_id, product_name, quantity, round(extended_price, 2) AS line_total
+        FROM lines LEFT JOIN products USING (product_id)""",
     "new_orders": """
-        SELECT f.*, i.order_total, i.item_count, i.units_ordered
-        FROM order_feed f JOIN (
-            SELECT order_id, sum(line_total) AS order_total, count(*) AS item_count,
-                   CAST(sum(quantity) AS BIGINT) AS units_ordered
-            FROM feed_items GROUP BY 1) i ON f.order_id = i.order_id""",
+        SELECT o.order_id, o.customer_id, company_name AS customer_name, c.country,
+               coalesce(value, 0) AS order_total, coalesce(items, 0) AS item_count,
+               coalesce(units, 0) AS units_ordered
+        FROM sale_orders o LEFT JOIN customers c USING (customer_id)
+        LEFT JOIN (SELECT order_id, sum(line_total) AS value, count(*) AS items,
+                          CAST(sum(quantity) AS BIGINT) AS units
+                   FROM feed_items GROUP BY order_id) USING (order_id)""",
+    "order_feed": """
+        SELECT order_id, 'new_order' AS event_type, order_date AS day FROM sale_orders
+        UNION ALL BY NAME
+        SELECT order_id, 'order_shipped' AS event_type, shipped_date AS day FROM sale_orders
+        WHERE shipped_date IS NOT NULL
+        UNION ALL BY NAME
+        SELECT o_orderkey AS order_id, 'order_delivered' AS event_type FROM orders
+        WHERE o_orderstatus = 'F'
+        UNION ALL BY NAME
+        SELECT DISTINCT l_orderkey AS order_id, 'order_returned' AS event_type FROM lineitem
+        WHERE l_returnflag = 'R'""",
     "user_feed": """
-        SELECT event_id, user_id, ts, event_id % 5 AS slot,
-               CAST(value AS DECIMAL(10,2)) * CAST(5 AS DECIMAL(1,0)) AS amount,
+        SELECT event_id, user_id, ts, json_extract_string(props, '$.k') AS place,
+               CAST(value AS DECIMAL(10,2)) AS amount,
                CASE event_type WHEN 'view' THEN 'page_view' WHEN 'error' THEN 'search'
                                ELSE event_type END AS kind
         FROM events""",

@@ -90,6 +90,19 @@ def order_integrity(t):
     return quality.check_order_integrity(t.orders, t.order_details, AS_OF)
 
 
+@query(
+    "q09_metrics_record",
+    f"""SELECT TIMESTAMP '{EVENTS_NOW}' AS timestamp, 'retail' AS database,
+               {", ".join(f"max(value) FILTER (check_name = '{name}') AS {title}" for name, title in (
+                   ("data_freshness", "data_age_days"), ("business_rules", "business_violations"),
+                   ("referential_integrity", "referential_issues"),
+                   ("order_integrity", "integrity_score_pct")))}
+        FROM ({_ALL})""",
+)
+def metrics_record(t):
+    return quality.metrics_record(_order_checks(t), EVENTS_NOW, "retail")
+
+
 @query("q02_referential_integrity", _REFERENTIAL)
 def referential_integrity(t):
     return quality.check_referential_integrity(*_references(t))

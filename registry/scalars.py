@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from registry.core import AS_OF, query, quotient, share
+from registry import feeds
+from registry.core import AS_OF, dbl, query, quotient, share
 from tillworks.functions import scalars
 from tillworks.operators import aggregates
 from tillworks.plans import staging
-from tillworks.streaming import events as ev
 from tillworks.streaming import metrics
 
 
@@ -309,16 +309,12 @@ def json_text(t):
 
 @query(
     "f28_explode_items",
-    """WITH i AS (SELECT o.o_orderkey AS order_id,
-                         unnest(range(1, o.o_orderkey % 5 + 2)) AS position
-                  FROM orders o WHERE o.o_orderkey % 20 < 10
-                    AND o.o_orderkey % 200 NOT IN (179, 199))
-       SELECT order_id, CAST((order_id * 7 + position * 11) % 50 AS INTEGER) AS product_id,
-              CAST((order_id + position) % 20 + 1 AS INTEGER) AS quantity
-       FROM i""",
+    f"""SELECT order_id, product_id, quantity, {dbl("line_total")} AS line_total FROM feed_items""",
 )
 def explode_items(t):
-    return metrics.order_items(ev.order_events(t)).select("order_id", "product_id", "quantity")
+    return metrics.order_items(feeds.order_events(t)).select(
+        "order_id", "product_id", "quantity", "line_total"
+    )
 
 
 @query(

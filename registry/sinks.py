@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from registry import feeds
 from registry.core import AS_OF, dbl, query
 from tillworks.plans import jobs, staging
 from tillworks.session import shared_folder
@@ -13,10 +14,28 @@ from tillworks.streaming import events as ev
 from tillworks.streaming import metrics, topics
 
 
+#: Names what one run of the registry stores; each run uses the same databases again.
+RUN = uuid.uuid4().hex[:12]
+
+
 def _folder(t, name):
     return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _database(t, name):
+    """A database of this run, empty: what an earlier call left there is dropped."""
+    database = f"{name}_{RUN}"
+    t.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{_folder(t, name)}'")
+    return database
+
+
+def drop_databases(spark):
+    """Drop what this run's queries created; for the owner of the run, once results are read."""
+    for name in ("analytics", sinks.layer_name("retail", "staging")):
+        spark.sql(f"DROP DATABASE IF EXISTS {name}_{RUN} CASCADE")
+
+
 _SUBTOTALS = f"SELECT order_id, {dbl('sum(extended_price)')} AS subtotal FROM lines GROUP BY 1"
 
 
@@ -83,8 +102,8 @@ def dated_rerun(t):
         GROUP BY country""",
 )
 def typed_result_table(t):
-    database = f"analytics_{uuid.uuid4().hex}"
-    sinks.create_result_tables(t.spark, database, _folder(t, "k05"))
+    database = _database(t, "analytics")
+    sinks.create_result_tables(t.spark, database)
     sales = jobs.sales_by_country(t.orders, t.order_details, t.customers)
     sinks.load_result_table(sales, database, "daily_country_sales", AS_OF)
     return t.spark.table(f"{database}.daily_country_sales").drop("created_at")
@@ -104,8 +123,7 @@ def published_view(t):
 )
 def published_tables(t):
     # Both tables are bucketed by the order, so this join needs no shuffle.
-    database = sinks.layer_name(f"retail_{uuid.uuid4().hex}", "staging")
-    t.spark.sql(f"CREATE DATABASE {database} LOCATION '{_folder(t, 'k07')}'")
+    database = _database(t, sinks.layer_name("retail", "staging"))
     orders = t.orders.select("order_id", "customer_id")
     lines = t.order_details.select("order_id", "product_id", "quantity")
     for name, df in (("orders", orders), ("order_details", lines)):
@@ -117,14 +135,80 @@ def published_tables(t):
 
 @query(
     "k10_keyed_partitions",
-    "SELECT order_id, product_id, quantity FROM lines",
+    """SELECT count(*) AS records, count(DISTINCT order_id) AS keys,
+              CAST(0 AS BIGINT) AS keys_in_several_partitions FROM lines""",
 )
 def keyed_partitions(t):
-    return sinks.keyed_partitions(t.order_details, "order_id").select(
-        "order_id", "product_id", "quantity"
+    # Observed where the rows lie: each key in one partition only.
+    placed = sinks.keyed_partitions(t.order_details, "order_id").select(
+        "order_id", F.spark_partition_id().alias("partition_id")
+    )
+    per_key = placed.groupBy("order_id", "partition_id").agg(F.count(F.lit(1)).alias("n"))
+    keys = per_key.groupBy("order_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("places"))
+    return keys.agg(
+        F.sum("n").alias("records"),
+        F.count(F.lit(1)).alias("keys"),
+        F.count_if(F.col("places") > 1).alias("keys_in_several_partitions"),
+    )
+
+
+@query(
+    "k08_layer_names",
+    """SELECT n_nationkey, n_name,
+              CASE n_regionkey % 3 WHEN 0 THEN 'retail_staging' WHEN 1 THEN 'retail_marts'
+                   ELSE 'retail' END AS apart,
+              CASE n_regionkey % 3 WHEN 0 THEN 'staging' WHEN 1 THEN 'marts'
+                   ELSE 'retail' END AS live
+       FROM nation""",
+)
+def layer_names(t):
+    # Nations as tables; the region says to which layer they belong, if to any.
+    layers = (" staging ", "marts", None)
+
+    def named(production):
+        pairs = ((F.lit(k), F.lit(sinks.layer_name("retail", v, production))) for k, v in enumerate(layers))
+        return F.create_map(*[x for pair in pairs for x in pair])[F.col("n_regionkey") % 3]
+
+    return t.file("nation").select(
+        "n_nationkey", "n_name", named(False).alias("apart"), named(True).alias("live")
     )
 
 
+def _topic(t, events, key="order_id"):
+    """All events as a topic of files."""
+    folder = _folder(t, "topic")
+    sinks.write_records(sinks.keyed_records(events, key), folder)
+    return folder
+
+
+@query(
+    "s07_bounded_read",
+    """SELECT CAST(least(500, count(*)) AS BIGINT) AS records, true AS decoded FROM order_feed""",
+)
+def bounded_read(t):
+    # Which records come first is open; that 500 come, and that all are events, is not.
+    records = topics.file_batch(t.spark, _topic(t, feeds.order_events(t)), "order_id")
+    some = ev.decode(topics.sample(records, 500), ev.ORDER_EVENT)
+    return some.agg(
+        F.count(F.lit(1)).alias("records"), F.bool_and(F.col(ev.CORRUPT).isNull()).alias("decoded")
+    )
+
+
+@query(
+    "s08_read_from_latest",
+    "SELECT order_id, event_type FROM order_feed WHERE event_type = 'order_returned'",
+)
+def read_from_latest(t):
+    # What was there before the moment is not read, what comes after it is.
+    events = feeds.order_events(t)
+    returned = F.col("event_type") == "order_returned"
+    folder = _topic(t, events.where(~returned))
+    latest = topics.latest(t.spark, folder)
+    sinks.write_records(sinks.keyed_records(events.where(returned), "order_id"), folder)
+    records = topics.file_batch(t.spark, folder, "order_id", after=latest)
+    return ev.readable(ev.decode(records, ev.ORDER_EVENT)).select("order_id", "event_type")
+
+
 @query(
     "s06_topic_stream",
     """SELECT coalesce(event_type, 'unknown') AS event_type, count(*) AS events
@@ -132,11 +216,29 @@ def keyed_partitions(t):
 )
 def topic_stream(t):
     # The whole topic as files, read as a stream from the earliest record to the end.
-    topic, output, marks = _folder(t, "topic"), _folder(t, "tally"), _folder(t, "marks")
-    sinks.write_records(sinks.keyed_records(ev.order_events(t), "order_id"), topic)
+    output, marks = _folder(t, "tally"), _folder(t, "marks")
+    topic = _topic(t, feeds.order_events(t))
     records = topics.file_topic(t.spark, topic, "order_id", per_trigger=100)
     query = topics.start_tallies(
         records, ev.ORDER_EVENT, {"types": metrics.tally_types}, output, marks
     )
     query.awaitTermination()
     return topics.merged_tally(t.spark, output, "types", ["event_type"])
+
+
+@query(
+    "t18_timed_run",
+    """SELECT kind AS event_type, count(*) AS events FROM user_feed GROUP BY 1""",
+)
+def timed_run(t):
+    # A stream that would go on is stopped after its time; the report is taken after the stop.
+    output, marks = _folder(t, "tally"), _folder(t, "marks")
+    records = topics.file_topic(t.spark, _topic(t, feeds.user_events(t), "user_id"), "user_id")
+    query = topics.start_tallies(
+        records, ev.USER_EVENT, {"types": metrics.tally_types}, output, marks,
+        trigger={"processingTime": "1 second"},
+    )
+    query.processAllAvailable()
+    return topics.run_for(
+        query, 1, lambda: topics.merged_tally(t.spark, output, "types", ["event_type"])
+    )

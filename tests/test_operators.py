@@ -293,6 +293,6 @@ def test_windows_refuse_unknown_function(spark):
 
 def test_value_set_and_null_profile(spark):
     df = spark.createDataFrame([("b", 1), ("a", None), ("b", 3)], "k string, v int")
-    assert aggregates.value_set(df, "k", "ks").first().ks == ["a", "b"]
+    assert [r.ks for r in aggregates.value_set(df, "k", "ks").collect()] == ["a", "b"]
     row = aggregates.null_profile(df, {"v": "null_v"}).first()
     assert (row.total_records, row.null_v) == (3, 1)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import registry
-from tillworks.operators import joins
+from tillworks.operators import joins, windows
 from tillworks.plans import jobs, marts, staging
 from tillworks.sources.tables import RetailTables
 
@@ -100,6 +100,18 @@ def test_daily_revenue_reads_the_lines_twice_and_does_not_exchange_them_for_repe
     assert not re.search(r"hashpartitioning\(order_id#\d+L?, product_id", plan(df))
 
 
+def test_window_pass_has_one_full_exchange_and_stores_nothing(spark, t, large, monkeypatch):
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.checkpoint", None)
+    sales = t.sales_transactions.select(
+        "transaction_id", "user_id", "amount", "transaction_date", F.lit("x" * 9).alias("rest")
+    )
+    text = plan(windows.user_sequence(sales, partitions=4))
+    assert "rangepartitioning" not in text and "CheckpointRDD" not in text
+    full = [m for m in re.finditer(r"Exchange hashpartitioning\(_part", text)]
+    # One with all columns; the carry table's own has the keys and the value only.
+    assert len(full) <= 2
+
+
 def test_global_rank_sends_only_carries_to_one_task(t, large):
     ranked = jobs.ranked_customers(
         t.orders.groupBy("customer_id").agg(F.sum("freight").alias("total_revenue")), partitions=4

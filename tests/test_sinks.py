@@ -98,5 +98,8 @@ def test_catalog_views(spark, t):
     assert spark.sql("SELECT count(*) AS n FROM v_orders").first().n == t.orders.count()
 
 
-def test_shared_folder_is_the_configured_one(spark):
+def test_shared_folder_is_the_configured_one_or_in_the_warehouse(spark):
     assert "checkpoints" in session.shared_folder(spark)
+    plain = spark.newSession()
+    plain.conf.set("spark.checkpoint.dir", "") if plain.conf.isModifiable("spark.checkpoint.dir") else None
+    assert not session.shared_folder(plain).startswith("/tmp/tillworks")

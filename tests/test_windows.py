@@ -92,9 +92,16 @@ def test_descending_puts_nulls_last(spark):
 def test_no_task_holds_a_hot_group(spark):
     """With one group for all rows, every partition still gets its share."""
     df = spark.range(20000).select("id", F.lit("hot").alias("g"), (F.col("id") % 5).alias("d"))
-    ranged = df.repartitionByRange(8, "g", "d", "id")
-    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
+    keys = [F.col("g"), *w.ascending("d"), F.col("id")]
+    bounds = w._bounds(df, keys, ["id"], 8)
+    place = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    parts = df.withColumn("part", w._part(place, bounds))
+    sizes = [r["count"] for r in parts.groupBy("part").count().collect()]
     assert len(sizes) == 8 and max(sizes) < 20000 / 8 * 1.5
+    # The same rows give the same bounds, however they are dealt.
+    again = w._bounds(df.repartition(5), keys, ["id"], 8)
+    same = df.withColumn("one", w._part(place, bounds)).withColumn("two", w._part(place, again))
+    assert same.where("one <> two").count() == 0
     got = w.spread_window(
         df, ["g"], w.ascending("d"), ["id"], {"rnk": w.RANK, "n": w.ROW_NUMBER}, partitions=8
     )

@@ -71,6 +71,5 @@ def merged_by(keys: Sequence[str], results: Sequence[DataFrame]) -> DataFrame:
 
 
 def value_set(df: DataFrame, column: str, name: str) -> DataFrame:
-    """One row: the sorted set of a column's values, which must be a small vocabulary."""
-    values = df.select(column).distinct()
-    return values.agg(F.array_sort(F.collect_set(column)).alias(name))
+    """The distinct values of a column in order, one row each; null is no value."""
+    return df.select(F.col(column).alias(name)).dropna().distinct().orderBy(name)

@@ -1,11 +1,13 @@
 """Ranking and running windows that spread one group over many tasks.
 
 A plain window sends each group to one task: all rows for a global rank, a sixth of the rows
-for a rank per product category, a third of them for one very busy user. Here the rows are
-range-partitioned by (group, order, tie), so a large group simply covers several partitions.
-Each partition computes its part of the window, and one small row per partition carries what
-the partitions before it (or, for peers, after it) add. That carry table has as many rows as
-there are partitions, never more, which is what makes it safe to broadcast.
+for a rank per product category, a third of them for one very busy user. Here the rows are cut
+into parts by ranges of (group, order, tie), so a large group simply covers several parts. The
+bounds of the ranges are taken once from a sample of fixed size and stand in the plan as values:
+a row's part depends on the row alone, so it can be computed again, and one exchange by part
+serves all windows of a pass. Each part computes its share of the window, and one small row per
+part carries what the parts before it (or, for peers, after it) add. That carry table has as many
+rows as there are parts, never more, which is what makes it safe to broadcast.
 """
 
 from collections.abc import Mapping, Sequence
@@ -13,8 +15,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillworks.session import shared_folder
-
 ROW_NUMBER = "row_number"
 RANK = "rank"
 DENSE_RANK = "dense_rank"
@@ -24,6 +24,10 @@ LEAD = "lead"
 PEER_FUNCTIONS = {RANK, DENSE_RANK, RUNNING_TOTAL}
 
 PART = "_part"
+# Sampled rows per part, and parts at most unless the caller asks for more: the bounds are a tree
+# of comparisons in the plan.
+SAMPLED = 32
+PARTS = 2048
 
 
 def ascending(column: str) -> list[Column]:
@@ -168,6 +172,42 @@ def _carries(local: DataFrame, functions: set[str]) -> DataFrame:
     return parts.select(PART, *[c for c in kept if c in parts.columns])
 
 
+def _bounds(df: DataFrame, keys: Sequence[Column], tie: Sequence[str], parts: int) -> list[Column]:
+    """Up to ``parts - 1`` places of (group, order, tie) that cut the rows into like shares.
+
+    One job: the rows with the smallest hashes of their unique key, ``SAMPLED`` per part, in order.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    keyed = df.select(*[k.alias(n) for k, n in zip(keys, names)], F.xxhash64(*tie).alias("_drawn"))
+    types = {f.name: f.dataType for f in keyed.schema}
+    drawn = (
+        keyed.orderBy("_drawn", *names)
+        .limit(SAMPLED * parts)
+        .orderBy(*names)
+        .select(*[F.col(n).cast("string").alias(n) for n in names])
+        .collect()
+    )
+    steps = [drawn[len(drawn) * i // parts] for i in range(1, parts)] if drawn else []
+    return [
+        F.struct(*[F.lit(row[n]).cast(types[n]).alias(n) for n in names])
+        for row in dict.fromkeys(steps)
+    ]
+
+
+def _part(place: Column, bounds: Sequence[Column]) -> Column:
+    """How many bounds the place has reached, by halving."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(place >= bounds[middle], between(middle + 1, high)).otherwise(
+            between(low, middle)
+        )
+
+    return between(0, len(bounds))
+
+
 def spread_window(
     df: DataFrame,
     group: Sequence[str],
@@ -182,9 +222,9 @@ def spread_window(
     ``order`` lists ascending sort keys (see ``ascending`` and ``descending``); rows with equal
     keys are peers for ``rank``, ``dense_rank`` and ``running_total``. ``tie`` is a unique key:
     it makes ``row_number``, ``lag`` and ``lead`` repeatable and lets a long run of peers be
-    split. ``outputs`` maps new column names to the functions of this module.
+    split. ``outputs`` maps new column names to the functions of this module. ``partitions`` is
+    the number of parts, by default that of shuffle partitions, ``PARTS`` at most.
     """
-    shared_folder(df.sparkSession)
     functions = set(outputs.values())
     keyed = df.withColumns(
         {
@@ -194,13 +234,11 @@ def spread_window(
             "_value": F.col(value) if value else F.lit(None).cast("int"),
         }
     )
-    # Range partitioning needs flat keys; the structs serve equality at partition edges.
-    sort_keys = [*[F.col(c) for c in group], *order, *[F.col(c) for c in tie]]
-    ranged = (
-        keyed.repartitionByRange(partitions, *sort_keys)
-        if partitions
-        else keyed.repartitionByRange(*sort_keys)
-    ).withColumn(PART, F.spark_partition_id())
+    keys = [*[F.col(c) for c in group], *order, *[F.col(c) for c in tie]]
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = _bounds(df, keys, tie, partitions or min(default, PARTS))
+    place = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    ranged = keyed.withColumn(PART, _part(place, bounds))
 
     in_part = Window.partitionBy(PART).orderBy("_group", "_order", "_tie")
     by_row = Window.partitionBy(PART, "_group").orderBy("_order", "_tie")
@@ -221,11 +259,9 @@ def spread_window(
     if RUNNING_TOTAL in functions:
         local["_run_sum"] = F.sum("_value").over(peers)
         local["_run_filled"] = F.count("_value").over(peers)
-    # The range bounds come from a sample: pin the rows to their partitions before the carry
-    # table and the final columns are both derived from them.
-    pinned = ranged.withColumns(local).drop("_tie").checkpoint()
+    parted = ranged.withColumns(local).drop("_tie")
 
-    rows = pinned.join(F.broadcast(_carries(pinned, functions)), PART, "left")
+    rows = parted.join(F.broadcast(_carries(parted, functions)), PART, "left")
     zero = F.lit(0)
     carried = F.col("_group").eqNullSafe(F.col("head_group")) & F.col("same_group")
 
@@ -294,8 +330,9 @@ def global_rank(
     )
     if tile is None:
         return ranked
-    total = ranked.agg(F.count(F.lit(1))).scalar()
-    return ranked.withColumn(tile, ntile(F.col(rank), total, tiles))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    counted = ranked.withColumn("_rows", total)
+    return counted.withColumn(tile, ntile(F.col(rank), F.col("_rows"), tiles)).drop("_rows")
 
 
 # The transaction windows

@@ -1,7 +1,5 @@
 """Session helpers. A running session is always respected; nothing here sets a master."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -37,19 +35,7 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and intermediate tables.
-
-    ``spark.checkpoint.dir`` names it on a cluster. Only a local session without that
-    setting gets a temporary folder: on a cluster other machines could not read one.
-    """
-    context = spark.sparkContext
-    folder = context.getCheckpointDir()
-    if folder:
-        return folder
+    """A folder that all executors share: that of ``spark.checkpoint.dir``, or one in the
+    warehouse where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="tillworks-", dir="/tmp")
-    context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"

@@ -1,21 +1,18 @@
-"""Event records of the two topics: schemas, decoding, and events derived from tables."""
+"""Event records of the two topics: schemas and decoding."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.sources import fixed_values
-from tillworks.sources.tables import RetailTables, pick
-
-MONEY = "decimal(14,2)"
+MONEY = "decimal(18,2)"
 
 ORDER_EVENT = (
     "event_id string, event_type string, timestamp string, order_id bigint,"
     " customer_id string, customer_name string, customer_country string, customer_city string,"
     " employee_id int, employee_name string, shipper_id int, shipper_name string,"
-    " order_date string, required_date string, freight decimal(14,2),"
-    " order_items array<struct<product_id: int, product_name: string, unit_price: decimal(14,2),"
-    " quantity: int, discount: decimal(5,3), line_total: decimal(14,2)>>,"
-    " order_total decimal(14,2), grand_total decimal(14,2), item_count int, units_ordered int,"
+    " order_date string, required_date string, freight decimal(18,2),"
+    " order_items array<struct<product_id: bigint, product_name: string, unit_price: decimal(18,2),"
+    " quantity: int, discount: decimal(5,3), line_total: decimal(18,2)>>,"
+    " order_total decimal(18,2), grand_total decimal(18,2), item_count int, units_ordered int,"
     " payment_method string, payment_status string, confirmation_code string,"
     " shipped_date string, tracking_number string, shipper string,"
     " delivered_date string, delivery_status string, signature_required boolean,"
@@ -23,10 +20,10 @@ ORDER_EVENT = (
 )
 
 USER_EVENT = (
-    "event_id string, user_id int, event_type string, timestamp string, page string,"
+    "event_id string, user_id bigint, event_type string, timestamp string, page string,"
     " session_id string,"
     " metadata struct<browser: string, device: string, ip_address: string>,"
-    " purchase_data struct<product_id: int, amount: decimal(14,2), currency: string>,"
+    " purchase_data struct<product_id: bigint, amount: decimal(18,2), currency: string>,"
     " search_query string"
 )
 
@@ -61,135 +58,3 @@ def readable(events: DataFrame) -> DataFrame:
 def dead_letters(events: DataFrame) -> DataFrame:
     """Records that could not be read, with their text."""
     return events.filter(F.col(CORRUPT).isNotNull()).select("key", F.col(CORRUPT).alias("value"))
-
-
-# Events derived from the warehouse tables. Every field is computed from the row itself, so an
-# event never gathers rows from elsewhere.
-
-
-def _order_items(key: Column) -> Column:
-    def item(position: Column) -> Column:
-        product = ((key * 7 + position * 11) % 50).cast("int")
-        price = (5 + product * F.lit("1.5").cast("decimal(2,1)")).cast(MONEY)
-        quantity = ((key + position) % 20 + 1).cast("int")
-        discount = ((key + position) % 3 * F.lit("0.05").cast("decimal(3,2)")).cast("decimal(5,3)")
-        total = F.round(price * quantity * (1 - discount), 2).cast(MONEY)
-        return F.struct(
-            product.alias("product_id"),
-            F.concat(F.lit("Product "), product.cast("string")).alias("product_name"),
-            price.alias("unit_price"),
-            quantity.alias("quantity"),
-            discount.alias("discount"),
-            total.alias("line_total"),
-        )
-
-    return F.transform(F.sequence(F.lit(1), (key % 5 + 1).cast("int")), item)
-
-
-def order_events(tables: RetailTables) -> DataFrame:
-    """One lifecycle event per order, the type given by the order number."""
-    key = F.col("order_id")
-    slot = key % 20
-    number = key.cast("string")
-    placed = slot < 10
-    kind = (
-        F.when(key % 200 == 199, F.lit(None).cast("string"))
-        .when(key % 200 == 179, "order_returned")
-        .when(placed, "new_order")
-        .when(slot < 14, "payment_confirmed")
-        .when(slot < 17, "order_shipped")
-        .when(slot < 19, "order_delivered")
-        .otherwise("order_cancelled")
-    )
-    staff = [f"{first} {last}" for _, last, first, _ in fixed_values.EMPLOYEES]
-    carriers = [name for _, name, _ in fixed_values.SHIPPERS]
-    base = tables.orders.withColumns({"kind": kind, "items": F.when(placed, _order_items(key))})
-    total = F.aggregate(
-        "items",
-        F.lit(0).cast(MONEY),
-        lambda sum_, item: (sum_ + item["line_total"]).cast(MONEY),
-    )
-    units = F.aggregate("items", F.lit(0), lambda sum_, item: sum_ + item["quantity"])
-    freight = F.round("freight", 2).cast(MONEY)
-
-    def only(kind_name: str, value: Column) -> Column:
-        return F.when(F.col("kind") == kind_name, value)
-
-    def new(value: Column) -> Column:
-        return only("new_order", value)
-
-    carrier = pick(carriers, F.col("ship_via") - 1)
-    return base.withColumn("total", total).select(
-        F.concat(F.lit("evt_"), number).alias("event_id"),
-        F.col("kind").alias("event_type"),
-        F.col("order_date").cast("string").alias("timestamp"),
-        "order_id",
-        new(F.col("customer_id").cast("string")).alias("customer_id"),
-        new(
-            F.concat(F.lit("Customer#"), F.lpad(F.col("customer_id").cast("string"), 9, "0"))
-        ).alias("customer_name"),
-        new(F.when(key % 40 != 0, F.col("ship_country"))).alias("customer_country"),
-        new(F.col("ship_city")).alias("customer_city"),
-        new(F.col("employee_id")).alias("employee_id"),
-        new(pick(staff, F.col("employee_id") - 1)).alias("employee_name"),
-        new(F.col("ship_via")).alias("shipper_id"),
-        new(carrier).alias("shipper_name"),
-        new(F.col("order_date").cast("string")).alias("order_date"),
-        new(F.col("required_date").cast("string")).alias("required_date"),
-        new(freight).alias("freight"),
-        new(F.col("items")).alias("order_items"),
-        new(F.col("total")).alias("order_total"),
-        new((F.col("total") + freight).cast(MONEY)).alias("grand_total"),
-        new(F.size("items")).alias("item_count"),
-        new(units).alias("units_ordered"),
-        only("payment_confirmed", pick(fixed_values.PAYMENT_METHODS, key % 4)).alias(
-            "payment_method"
-        ),
-        only(
-            "payment_confirmed", F.when(key % 7 == 0, "pending").otherwise("confirmed")
-        ).alias("payment_status"),
-        only("payment_confirmed", F.concat(F.lit("PAY"), number)).alias("confirmation_code"),
-        only("order_shipped", F.col("order_date").cast("string")).alias("shipped_date"),
-        only("order_shipped", F.concat(F.lit("TRK"), number)).alias("tracking_number"),
-        only("order_shipped", carrier).alias("shipper"),
-        only("order_delivered", F.col("required_date").cast("string")).alias("delivered_date"),
-        only("order_delivered", F.lit("delivered")).alias("delivery_status"),
-        only("order_delivered", key % 2 == 0).alias("signature_required"),
-        only(
-            "order_cancelled",
-            pick(fixed_values.CANCELLATION_REASONS, F.floor(key / 20) % 5),
-        ).alias("cancellation_reason"),
-        only("order_cancelled", F.lit("pending")).alias("refund_status"),
-    )
-
-
-def user_events(tables: RetailTables) -> DataFrame:
-    """One user event per row of the event table."""
-    key = F.col("transaction_id")
-    raw = tables.file("events").withColumnRenamed("event_id", "transaction_id")
-    kind = F.when(F.col("event_type") == "view", "page_view").when(
-        F.col("event_type") == "error", "search"
-    ).otherwise(F.col("event_type"))
-    purchase = F.struct(
-        (key % 50).cast("int").alias("product_id"),
-        (F.col("value").cast("decimal(10,2)") * 5).cast(MONEY).alias("amount"),
-        F.lit("USD").alias("currency"),
-    )
-    client = F.struct(
-        pick(fixed_values.BROWSERS, key % 4).alias("browser"),
-        pick(fixed_values.DEVICES, key % 3).alias("device"),
-        F.concat(F.lit("192.168.0."), (key % 256).cast("string")).alias("ip_address"),
-    )
-    return raw.withColumn("kind", kind).select(
-        key.cast("string").alias("event_id"),
-        F.col("user_id").cast("int").alias("user_id"),
-        F.col("kind").alias("event_type"),
-        F.col("ts").cast("string").alias("timestamp"),
-        F.concat(F.lit("/p"), F.get_json_object("props", "$.k")).alias("page"),
-        F.concat(F.lit("session_"), (F.col("user_id") % 50).cast("string")).alias("session_id"),
-        client.alias("metadata"),
-        F.when(F.col("kind") == "purchase", purchase).alias("purchase_data"),
-        F.when(F.col("kind") == "search", pick(fixed_values.SEARCH_QUERIES, key % 5)).alias(
-            "search_query"
-        ),
-    )

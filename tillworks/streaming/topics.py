@@ -4,7 +4,10 @@ The file form of a topic is a folder of JSON lines. Kafka needs its connector on
 path; both forms give the same (key, value) records.
 """
 
+import json
+import time
 from collections.abc import Callable, Mapping
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,9 +68,24 @@ def file_topic(
     return _records(reader.load(folder), key)
 
 
-def file_batch(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    """The records that a folder of JSON lines holds now."""
-    return _records(spark.read.text(folder), key)
+def file_batch(spark: SparkSession, folder: str, key: str, after: str | None = None) -> DataFrame:
+    """The records that a folder of JSON lines holds now, or only what came ``after`` a moment
+    that ``latest`` has given."""
+    reader = spark.read
+    if after:
+        reader = reader.option("modifiedAfter", after).option("timeZone", "UTC")
+    return _records(reader.text(folder), key)
+
+
+def latest(spark: SparkSession, folder: str) -> str:
+    """The moment of the newest file of a folder: the file form of starting at the latest offset.
+
+    Returns once the clock of the file system has gone on, so that a file written from now on is
+    newer."""
+    newest = max((f.getModificationTime() for f in _listed(spark, folder)), default=0)
+    while time.time() * 1000 < newest + 1000:
+        time.sleep(0.1)
+    return datetime.fromtimestamp(newest / 1000, UTC).strftime("%Y-%m-%dT%H:%M:%S.%f")
 
 
 def sample(records: DataFrame, rows: int) -> DataFrame:
@@ -75,11 +93,6 @@ def sample(records: DataFrame, rows: int) -> DataFrame:
     return records.limit(rows)
 
 
-def new_records(records: DataFrame, seen_before: str, column: str = "timestamp") -> DataFrame:
-    """Events from a point in time on: the file form of starting at the latest offset."""
-    return records.filter(F.col(column) >= seen_before)
-
-
 def deduplicated(events: DataFrame, watermark: str, time: str = "event_time") -> DataFrame:
     """Drop repeated deliveries within the watermark. Off unless asked for: it changes counts."""
     return events.withWatermark(time, watermark).dropDuplicatesWithinWatermark(["event_id"])
@@ -144,46 +157,99 @@ def start_tallies(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _folder_exists(spark: SparkSession, folder: str) -> bool:
+def _listed(spark: SparkSession, folder: str) -> list:
+    """What a folder holds, as the file system lists it; nothing if there is no such folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(system.listStatus(path)) if system.exists(path) else []
+
+
+def _numbered(spark: SparkSession, folder: str, prefix: str) -> dict[int, str]:
+    """Complete parts ``prefix=N`` of a folder by their number; a part whose write did not end is
+    left out."""
+    found = {}
+    for part in _listed(spark, folder):
+        name, place = part.getPath().getName(), part.getPath().toString()
+        if name.startswith(f"{prefix}="):
+            if any(f.getPath().getName() == "_SUCCESS" for f in _listed(spark, place)):
+                found[int(name[len(prefix) + 1 :])] = place
+    return found
+
+
+def _remove(spark: SparkSession, places) -> None:
+    for place in places:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _parts(spark: SparkSession, output: str, name: str, segments: bool):
+    """Merged states in use, the batches after them, and all that is superseded.
+
+    With ``segments`` every state counts, else the newest has taken over the earlier ones."""
+    states = _numbered(spark, f"{output}/{name}.merged", "up_to")
+    batches = _numbered(spark, f"{output}/{name}", "batch_id")
+    newest = max(states, default=-1)
+    used = dict(states) if segments else {n: p for n, p in states.items() if n == newest}
+    later = {n: p for n, p in batches.items() if n > newest}
+    old = [p for n, p in batches.items() if n <= newest]
+    old += [p for n, p in states.items() if n not in used]
+    return used, later, old
 
 
-def _tally_parts(spark: SparkSession, output: str, name: str) -> DataFrame:
-    """The counts to add up: the newest merged state, if any, and the batches after it."""
-    batches = spark.read.parquet(f"{output}/{name}")
-    merged = f"{output}/{name}.merged"
-    if not _folder_exists(spark, merged):
-        return batches
-    states = spark.read.parquet(merged)
-    newest = states.agg(F.max("up_to")).scalar()
-    state = states.filter(F.col("up_to") == newest).withColumnRenamed("up_to", "batch_id")
-    return batches.filter(F.col("batch_id") > newest).unionByName(state)
+def _read(spark: SparkSession, places) -> DataFrame:
+    return spark.read.parquet(*places)
 
 
 def _added(parts: DataFrame, keys: list[str]) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in parts.columns if c not in (*keys, "batch_id")]
+    sums = [F.sum(c).alias(c) for c in parts.columns if c not in keys]
     return parts.groupBy(*keys).agg(*sums)
 
 
 def merged_tally(spark: SparkSession, output: str, name: str, keys: list[str]) -> DataFrame:
     """The counts of all batches, added up per key."""
-    return _added(_tally_parts(spark, output, name), keys)
+    used, later, _ = _parts(spark, output, name, segments=False)
+    return _added(_read(spark, [*used.values(), *later.values()]), keys)
 
 
 def compact_tally(spark: SparkSession, output: str, name: str, keys: list[str]) -> int:
     """Merge the batches so far, so that reports read one state and the batches after it.
 
-    Returns the last batch merged; folders up to it are no longer read and can be removed.
+    The new state goes to a folder of its own and counts once its write has ended; until then
+    reports go on with what they had. Only then are merged batches and earlier states removed, so
+    listings stay short. With nothing new, nothing is written. Returns the last batch merged.
+    A report that was planned before may find its files gone: plan it again.
     """
-    parts = _tally_parts(spark, output, name)
-    last = parts.agg(F.max("batch_id")).first()[0]
-    upto = parts.filter(F.col("batch_id") <= last)
-    state = _added(upto, keys)
-    # Sums of decimals widen: a state keeps the column types of the batches.
-    types = dict(parts.dtypes)
-    state = state.select(*[F.col(c).cast(types[c]).alias(c) for c in state.columns])
-    state.write.mode("overwrite").parquet(f"{output}/{name}.merged/up_to={last}")
+    used, later, old = _parts(spark, output, name, segments=False)
+    last = max([*used, *later])
+    if later:
+        parts = _read(spark, [*used.values(), *later.values()])
+        # Sums of decimals widen: a state keeps the column types of the batches.
+        types = dict(parts.dtypes)
+        state = _added(parts, keys)
+        state = state.select(*[F.col(c).cast(types[c]).alias(c) for c in state.columns])
+        state.write.mode("overwrite").parquet(f"{output}/{name}.merged/up_to={last}")
+        old = _parts(spark, output, name, segments=False)[2]
+    _remove(spark, old)
+    return last
+
+
+def feed(spark: SparkSession, output: str, name: str) -> DataFrame:
+    """All rows that a feed has written."""
+    used, later, _ = _parts(spark, output, name, segments=True)
+    return _read(spark, [*used.values(), *later.values()])
+
+
+def compact_feed(spark: SparkSession, output: str, name: str) -> int:
+    """Gather the batches since the last time into one segment; earlier segments stay as they
+    are. Merged batches are removed once the segment is complete."""
+    used, later, old = _parts(spark, output, name, segments=True)
+    last = max([*used, *later])
+    if later:
+        _read(spark, list(later.values())).write.mode("overwrite").parquet(
+            f"{output}/{name}.merged/up_to={last}"
+        )
+        old = _parts(spark, output, name, segments=True)[2]
+    _remove(spark, old)
     return last
 
 
@@ -231,8 +297,31 @@ def processing_rate(query: StreamingQuery) -> float:
     return float(progress["processedRowsPerSecond"] or 0) if progress else 0.0
 
 
+def _positions(offset, path: tuple = ()) -> dict:
+    """The numbers of an offset by their place: per topic and partition, or of a file log. An
+    offset that is not JSON has none."""
+    if isinstance(offset, str):
+        try:
+            offset = json.loads(offset)
+        except ValueError:
+            return {}
+    if isinstance(offset, dict):
+        inner = [_positions(v, (*path, k)) for k, v in offset.items()]
+        return {k: v for part in inner for k, v in part.items()}
+    return {path: int(offset)} if offset is not None else {}
+
+
+def lag(end, latest) -> int:
+    """How far the processed offsets are behind the latest ones, added over all partitions.
+
+    A partition without a processed offset counts from its start; a source that names no latest
+    offset has no lag."""
+    done = _positions(end)
+    return sum(max(0, at - done.get(place, 0)) for place, at in _positions(latest).items())
+
+
 class LagMonitor(StreamingQueryListener):
-    """Keeps the latest progress of every query: rows, rate and source offsets."""
+    """Keeps the latest progress of every query: rows, rate, source offsets and lag."""
 
     def __init__(self):
         self.progress = {}
@@ -250,6 +339,7 @@ class LagMonitor(StreamingQueryListener):
                 {"source": s.description, "end": s.endOffset, "latest": s.latestOffset}
                 for s in progress.sources
             ],
+            "lag": sum(lag(s.endOffset, s.latestOffset) for s in progress.sources),
         }
 
     def onQueryIdle(self, event):
