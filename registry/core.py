@@ -1,11 +1,13 @@
 """Registration, and the retail model as SQL for the comparison statements."""
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tillworks.session import shared_folder
 from tillworks.sources.fixed_values import (
     BROWSERS,
     CATEGORIES,
@@ -39,6 +41,13 @@ def plain(df: DataFrame) -> DataFrame:
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read again: for results that are read twice."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def query(key: str, sql: str | None = None):
     """Register a plan over the retail tables under a key."""
 

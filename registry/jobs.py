@@ -1,6 +1,6 @@
 """The named analytics jobs and the staging models."""
 
-from registry.core import AS_OF, big, dbl, mean, query, quotient
+from registry.core import AS_OF, big, dbl, mean, query, quotient, stored
 from tillworks.plans import jobs, staging
 
 PROMO = "PROMO"
@@ -169,11 +169,10 @@ def country_performance(t):
         GROUP BY 1 ORDER BY sum(n.extended_price) DESC""",
 )
 def top_customer_categories(t):
-    metrics = jobs.customer_metrics(t.orders, t.order_details, t.customers, AS_OF)
-    ranked = jobs.ranked_customers(metrics.select("customer_id", "total_revenue"))
-    return jobs.top_customer_categories(
-        ranked, t.orders, t.order_details, t.products, t.categories
+    sales = jobs.customer_category_sales(
+        t.orders, t.order_details, t.customers, t.products, t.categories
     )
+    return jobs.top_customer_categories(stored(sales, "a31"))
 
 
 PRODUCT_SALES = f"""

@@ -92,6 +92,20 @@ def test_category_summary_reads_the_lines_once(t, large):
     assert scans(df, "lineitem") == 1
 
 
+def test_customer_categories_and_product_metrics_read_the_lines_in_few_passes(t, large):
+    df = jobs.customer_category_sales(
+        t.orders, t.order_details, t.customers, t.products, t.categories
+    )
+    assert scans(df, "lineitem") == 1
+    df = marts.product_metrics(
+        staging.stg_products(t.products, t.categories, t.suppliers),
+        staging.stg_order_details(t.order_details),
+        staging.stg_orders(t.orders),
+        staging.stg_customers(t.customers),
+    )
+    assert scans(df, "lineitem") == 2
+
+
 def test_daily_revenue_reads_the_lines_twice_and_does_not_exchange_them_for_repeats(t, large):
     df = marts.daily_revenue(staging.stg_orders(t.orders), staging.stg_order_details(t.order_details))
     assert scans(df, "lineitem") == 2

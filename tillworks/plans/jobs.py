@@ -322,29 +322,47 @@ def country_performance(metrics: DataFrame) -> DataFrame:
     )
 
 
-def top_customer_categories(
-    ranked: DataFrame,
+def customer_category_sales(
     orders: DataFrame,
     details: DataFrame,
+    customers: DataFrame,
     products: DataFrame,
     categories: DataFrame,
-    quartile: int = 1,
 ) -> DataFrame:
-    """What the best customers buy. Lines are summed per product before the category lookup."""
-    best = ranked.filter(F.col("revenue_quartile") == quartile)
-    their_orders = joins.rows_of_customers(orders.select("order_id", "customer_id"), best)
-    per_product = (
-        staging.stg_order_details(joins.details_of(details, their_orders))
-        .groupBy("product_id")
+    """What each known customer bought, by category; null for lines whose product has none.
+
+    One pass over the lines: they shrink to one row per order and category, and those to one row
+    per customer and category. Store the result where more than one figure is taken from it.
+    """
+    category = joins.product_catalog(products, categories).select("product_id", "category_name")
+    per_order = (
+        staging.stg_order_details(details)
+        .join(category, "product_id", "left")
+        .groupBy("order_id", "category_name")
         .agg(
             F.sum("extended_price").alias("revenue"),
             F.count("order_id").alias("lines"),
             F.sum("quantity").alias("units"),
         )
     )
-    category = joins.product_catalog(products, categories).select("product_id", "category_name")
+    per_customer = (
+        per_order.join(orders.select("order_id", "customer_id"), "order_id")
+        .groupBy("customer_id", "category_name")
+        .agg(
+            F.sum("revenue").alias("revenue"),
+            F.sum("lines").alias("lines"),
+            F.sum("units").alias("units"),
+        )
+    )
+    return joins.rows_of_customers(per_customer, customers)
+
+
+def top_customer_categories(sales: DataFrame, quartile: int = 1) -> DataFrame:
+    """What the customers of a revenue quartile buy, from sales by customer and category."""
+    totals = sales.groupBy("customer_id").agg(F.sum("revenue").alias("total_revenue"))
+    best = ranked_customers(totals).filter(F.col("revenue_quartile") == quartile)
     sums = (
-        per_product.join(category, "product_id")
+        joins.rows_of_customers(sales.filter("category_name is not null"), best)
         .groupBy("category_name")
         .agg(
             F.sum("revenue").alias("category_revenue"),

@@ -269,6 +269,18 @@ def fct_product_sales(
 ) -> DataFrame:
     """Product grain: sales, share of category, stock cover, tier and inventory action."""
     metrics = product_metrics(stg_products, stg_details, stg_orders, stg_customers)
+    return product_standing(metrics, as_of, star, high, solid)
+
+
+def product_standing(
+    metrics: DataFrame,
+    as_of: str,
+    star: float = 10000,
+    high: float = 5000,
+    solid: float = 1000,
+) -> DataFrame:
+    """What follows from the sales measures of the products. They are read twice, for the totals
+    per category and for the products: store them first where they come from many lines."""
     shared = joins.with_group_share(
         metrics, "category_name", "total_revenue", "category_total_revenue",
         "pct_of_category_revenue",
