@@ -12,7 +12,7 @@ from tillworks.llm.arrowtext import slices
 from tillworks.llm.storage import stored
 
 #: Words whose ids a task remembers; then it starts again.
-_REMEMBERED = 400_000
+_REMEMBERED = 600_000
 #: Texts with one of these are cut as a whole: strings of special tokens, and characters that
 #: not every rule takes for white space.
 _ODD = (
@@ -25,35 +25,87 @@ _PIECES = (
 )
 
 
+#: Splits letters, single digits and the rest apart, and drops white space (a fixed value of the
+#: tokenizer's file).
+_LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters whose normal form and lower case are one letter each, and marks behind them.
+_STEM = r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!\"#$%&()*+,\-./:;=>?@\[\]^_{|}~]*)"
+
+
+def _stems_apart(tokenizer) -> bool:
+    """Whether a word's letters and the marks behind them are cut on their own, letters in lower
+    case."""
+    import json
+
+    parts = json.loads(tokenizer.to_str())
+    forms = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+    splits = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        forms == ["NFC", "Replace", "Lowercase"]
+        and [p["type"] for p in splits] == ["Split", "ByteLevel"]
+        and splits[0]["pattern"].get("Regex") == _LETTERS_APART
+        and not splits[1]["add_prefix_space"]
+        and not splits[1].get("use_regex", True)
+    )
+
+
 def encoder(path: str):
     """A function from texts to their ids as bytes, and the type of an id.
 
     The tokenizer cuts words apart at white space and drops it, so the ids of a text are those of
-    its words; each word's are looked up once and remembered.
+    its words; each word's are looked up once and remembered. Where the tokenizer also cuts
+    letters and marks apart, the letters go to its model at once, so that a stem is cut once
+    whatever marks and capitals it comes with.
     """
     import os
     import re
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     tokenizer = Tokenizer.from_file(path)
     kind = np.dtype("<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
     odd = re.compile(_ODD)
-    known = {}
+    stem_of = re.compile(_STEM).fullmatch if _stems_apart(tokenizer) else None
+    as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    letters = {c: as_bytes(chr(c))[0][0] for c in range(0xC0, 0x100)}
+    cut_stem = tokenizer.model.tokenize
+    known, stems = {}, {}
+
+    def packed(ids):
+        return np.array(ids, dtype=kind).tobytes()
 
     def cut(texts):
-        found = tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(f.ids, dtype=kind).tobytes() for f in found]
+        return [packed(f.ids) for f in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def learn(words):
+        rest = []
+        for word in words:
+            parts = stem_of(word) if stem_of else None
+            if not parts:
+                rest.append(word)
+                continue
+            stem, marks = parts[1].lower(), parts[2]
+            ids = stems.get(stem)
+            if ids is None:
+                text = stem if stem.isascii() else stem.translate(letters)
+                ids = stems[stem] = packed([t.id for t in cut_stem(text)])
+            if marks:
+                if marks not in stems:
+                    stems[marks] = cut([marks])[0]
+                ids += stems[marks]
+            known[word] = ids
+        known.update(zip(rest, cut(rest)))
 
     def encode(texts):
         plain = [None if odd.search(t) else t.split() for t in texts]
         new = {w for words in plain if words for w in words} - known.keys()
         if len(known) + len(new) > _REMEMBERED:
             known.clear()
+            stems.clear()
             new = {w for words in plain if words for w in words}
-        new = list(new)
-        known.update(zip(new, cut(new)))
+        learn(new)
         return [
             cut([t])[0] if words is None else b"".join(map(known.__getitem__, words))
             for t, words in zip(texts, plain)
