@@ -30,6 +30,16 @@ def _columns(lines, types, schema):
     return arrays, [c.split()[0] for c in schema.split(", ")]
 
 
+def _narrow(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on as bytes, each as wide as the largest needs; the width comes first."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"u{data[0]}", offset=1).astype(np.int64)
+
+
 def pre_tokens(data: np.ndarray) -> np.ndarray:
     """Starts of the stretches that no piece of the vocabulary crosses.
 
@@ -87,11 +97,11 @@ def _frequencies(batches, bits):
             row = np.searchsorted(offsets, starts, side="right") - 1
             distinct, at, token = np.unique(hashes, return_index=True, return_inverse=True)
             key, times = np.unique(token * part.num_rows + row, return_counts=True)
-            token, row = key // part.num_rows, (key % part.num_rows).astype(np.uint32)
-            spread = np.bincount(token, minlength=len(at)).astype(np.uint32)
+            token, row = key // part.num_rows, key % part.num_rows
+            spread = np.bincount(token, minlength=len(at))
             buckets = (distinct >> np.uint64(64 - bits)).astype(np.int64)
             edges = np.searchsorted(buckets, np.arange((1 << bits) + 1))
-            pairs = np.concatenate(([0], np.cumsum(spread, dtype=np.int64)))[edges]
+            pairs = np.concatenate(([0], np.cumsum(spread)))[edges]
             name = (TaskContext.get().partitionId() << 32) + number
             number += 1
             docs = part.column(0).to_pylist()
@@ -99,19 +109,11 @@ def _frequencies(batches, bits):
             for b in np.flatnonzero(np.diff(edges)):
                 some, of = slice(edges[b], edges[b + 1]), slice(pairs[b], pairs[b + 1])
                 tokens = [whole[starts[i] : ends[i]] for i in at[some]]
-                lengths = np.array([len(t) for t in tokens], dtype=np.uint32)
-                lines.append(
-                    [int(b), name, None, None, b"".join(tokens), lengths.tobytes()]
-                    + [spread[some].tobytes(), row[of].tobytes()]
-                    + [times[of].astype(np.uint32).tobytes()]
-                )
+                numbers = (np.array([len(t) for t in tokens]), spread[some], row[of], times[of])
+                lines.append([int(b), name, None, None, b"".join(tokens), *map(_narrow, numbers)])
             yield pa.RecordBatch.from_arrays(*_columns(lines, types, _FREQUENCIES))
 
 
-def _numbers(data):
-    return np.frombuffer(data, dtype=np.uint32).astype(np.int64)
-
-
 def _weigh(table, path):
     """One bucket: count the pieces of its distinct pre-tokens, and weigh the frequencies."""
     out, lines, number = [], [], {}
@@ -126,9 +128,9 @@ def _weigh(table, path):
     counts = counter(path)(list(number)) if number else None
     for line in lines:
         each = np.repeat(counts[line["numbers"]], _numbers(line["spread"]))
-        rows, at = np.unique(np.frombuffer(line["rows"], dtype=np.uint32), return_inverse=True)
+        rows, at = np.unique(_numbers(line["rows"]), return_inverse=True)
         sums = np.bincount(at, weights=each * _numbers(line["times"])).astype(np.int64)
-        out.append([line["slice"], None, None, rows.tobytes(), sums.tobytes()])
+        out.append([line["slice"], None, None, _narrow(rows), _narrow(sums)])
     arrays, names = _columns(out, _SUM_TYPES, _SUMS)
     return pa.table(arrays, names=names)
 
@@ -140,7 +142,7 @@ def _add(table: pa.Table) -> pa.Table:
     total = np.zeros(len(listed["docs"]), dtype=np.int64)
     for line in lines:
         if line["docs"] is None:
-            total[_numbers(line["rows"])] += np.frombuffer(line["sums"], dtype=np.int64)
+            total[_numbers(line["rows"])] += _numbers(line["sums"])
     return pa.table(
         {
             "doc_id": pa.array(listed["docs"], pa.int64()),
