@@ -35,6 +35,9 @@ def test_page():
         ("<article><p>hi</article>", "hi"),
         ("<article><h1>T</h1><p><b>T x.<br><p>y</p></article><div class=ad>buy</div>", "T\nT x.\ny"),
         ("<nav>menu</nav><footer>end</footer>", ""),
+        ("<div class='ad3'>buy now</div><div id='main-1'><p>text</p></div>", "text"),
+        ("<article><p>a</p><section id=comments><p>nice one, reader</p></section></article>", "a"),
+        ("<article><header><h1>T</h1></header><p>a</p><div class='notice'>n</div></article>", "T\na"),
         ("<div>a < b and <3</div>", "a < b and <3"),
         ("<div title=\"x>y\">q</div>", "q"),
         ("<script>x", ""),

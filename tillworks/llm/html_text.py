@@ -89,7 +89,8 @@ def _is_outside(tag, attributes, in_article):
         return True
     if found.get("role") in _ROLES or _HIDDEN.search(found.get("style", "")):
         return True
-    names = set(_WORD.findall(found.get("class", "") + " " + found.get("id", "")))
+    named = _WORD.findall(found.get("class", "") + " " + found.get("id", ""))
+    names = {w.rstrip("0123456789") for w in named}  # "ad-3" and "ad3" alike
     return bool(names & _AROUND) or (not in_article and bool(names & _AROUND_OUTSIDE))
 
 
