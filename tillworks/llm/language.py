@@ -13,6 +13,8 @@ from tillworks.llm.arrowtext import carried_columns, mix, slices
 UNKNOWN = "und"
 _FACTORS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _PROBES = 3
+#: Text that is worked on at once: n-grams take about a hundred times its size in memory.
+_SLICE = 1 << 20
 
 
 @dataclass
@@ -79,7 +81,7 @@ def text_grams(texts):
 def _counted(batches):
     """n-grams of labelled texts with their counts, summed per slice."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", _SLICE):
             names = part.column(0).to_pylist()
             place = {name: i for i, name in enumerate(dict.fromkeys(names))}
             grams, owner = text_grams(part.column(1).to_pylist())
@@ -149,7 +151,7 @@ def fit(
 def _predict(batches, model):
     languages = np.array([*model.languages, UNKNOWN], dtype=object)
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", _SLICE):
             grams, owner = text_grams(part.column(1).to_pylist())
             n = part.num_rows
             total = np.bincount(owner, minlength=n)
