@@ -21,6 +21,7 @@ DENSE_RANK = "dense_rank"
 RUNNING_TOTAL = "running_total"
 LAG = "lag"
 LEAD = "lead"
+TOTAL = "total"
 PEER_FUNCTIONS = {RANK, DENSE_RANK, RUNNING_TOTAL}
 
 PART = "_part"
@@ -81,6 +82,8 @@ def _carries(local: DataFrame, functions: set[str]) -> DataFrame:
         edges |= {"head_value": head(place), "tail_value": tail(place)}
     if functions & {ROW_NUMBER, RANK}:
         edges["tail_count"] = tail(row)
+    if TOTAL in functions:
+        edges["part_rows"] = tail(row)
     if RANK in functions:
         edges["tail_peers"] = tail(row - rank + 1)
     if DENSE_RANK in functions:
@@ -167,7 +170,9 @@ def _carries(local: DataFrame, functions: set[str]) -> DataFrame:
         parts = _chained_sums(parts, F.col(PART).asc(), forward)
     if backward:
         parts = _chained_sums(parts, F.col(PART).desc(), backward)
-    kept = ("head_group", "head_value", "tail_value", "same_group", "same_value",
+    if TOTAL in functions:
+        parts = parts.withColumn("all_rows", F.sum("part_rows").over(Window.partitionBy()))
+    kept = ("head_group", "head_value", "tail_value", "same_group", "same_value", "all_rows",
             "next_same_group", "prev_item", "next_item", *forward, *backward)
     return parts.select(PART, *[c for c in kept if c in parts.columns])
 
@@ -216,6 +221,7 @@ def spread_window(
     outputs: Mapping[str, str],
     value: str | None = None,
     partitions: int | None = None,
+    sampled: DataFrame | None = None,
 ) -> DataFrame:
     """Add window columns per group without ever holding a whole group in one task.
 
@@ -223,8 +229,12 @@ def spread_window(
     keys are peers for ``rank``, ``dense_rank`` and ``running_total``. ``tie`` is a unique key:
     it makes ``row_number``, ``lag`` and ``lead`` repeatable and lets a long run of peers be
     split. ``outputs`` maps new column names to the functions of this module. ``partitions`` is
-    the number of parts, by default that of shuffle partitions, ``PARTS`` at most.
+    the number of parts, by default that of shuffle partitions, ``PARTS`` at most. The bounds are
+    drawn from ``sampled`` where the same rows can be had there at less cost. ``TOTAL``, the number
+    of all rows, is for the empty group.
     """
+    if TOTAL in outputs.values() and group:
+        raise ValueError("a total is of all rows: leave the group empty")
     functions = set(outputs.values())
     keyed = df.withColumns(
         {
@@ -236,7 +246,8 @@ def spread_window(
     )
     keys = [*[F.col(c) for c in group], *order, *[F.col(c) for c in tie]]
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = _bounds(df, keys, tie, partitions or min(default, PARTS))
+    source = df if sampled is None else sampled
+    bounds = _bounds(source, keys, tie, partitions or min(default, PARTS))
     place = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
     ranged = keyed.withColumn(PART, _part(place, bounds))
 
@@ -287,6 +298,8 @@ def spread_window(
             return F.when(
                 F.col("_run_filled") + filled > 0, F.coalesce("_run_sum", zero) + added
             )
+        if function == TOTAL:
+            return F.col("all_rows").cast("bigint")
         if function == LAG:
             outside = carried & (F.col("_row") == 1)
             return F.when(outside, F.col("prev_item")).otherwise(F.col("_lag"))
@@ -325,14 +338,11 @@ def global_rank(
     partitions: int | None = None,
 ) -> DataFrame:
     """Position of each row in the whole table and, on request, its ntile."""
-    ranked = spread_window(
-        df, [], order, tie, outputs={rank: ROW_NUMBER}, partitions=partitions
-    )
+    outputs = {rank: ROW_NUMBER} | ({"_rows": TOTAL} if tile else {})
+    ranked = spread_window(df, [], order, tie, outputs=outputs, partitions=partitions)
     if tile is None:
         return ranked
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counted = ranked.withColumn("_rows", total)
-    return counted.withColumn(tile, ntile(F.col(rank), F.col("_rows"), tiles)).drop("_rows")
+    return ranked.withColumn(tile, ntile(F.col(rank), F.col("_rows"), tiles)).drop("_rows")
 
 
 # The transaction windows
@@ -361,7 +371,9 @@ def user_sequence(enriched: DataFrame, partitions: int | None = None, **names: s
     )
 
 
-def rank_in_category(enriched: DataFrame, partitions: int | None = None) -> DataFrame:
+def rank_in_category(
+    enriched: DataFrame, partitions: int | None = None, sampled: DataFrame | None = None
+) -> DataFrame:
     return spread_window(
         enriched,
         ["category"],
@@ -369,10 +381,13 @@ def rank_in_category(enriched: DataFrame, partitions: int | None = None) -> Data
         ["transaction_id"],
         {"category_sales_rank": RANK},
         partitions=partitions,
+        sampled=sampled,
     )
 
 
-def rank_in_month(enriched: DataFrame, partitions: int | None = None) -> DataFrame:
+def rank_in_month(
+    enriched: DataFrame, partitions: int | None = None, sampled: DataFrame | None = None
+) -> DataFrame:
     return spread_window(
         enriched,
         ["transaction_year_month"],
@@ -380,11 +395,12 @@ def rank_in_month(enriched: DataFrame, partitions: int | None = None) -> DataFra
         ["transaction_id"],
         {"monthly_transaction_rank": DENSE_RANK},
         partitions=partitions,
+        sampled=sampled,
     )
 
 
 def apply_window_functions(enriched: DataFrame, partitions: int | None = None) -> DataFrame:
-    """All six transaction windows."""
-    return rank_in_month(
-        rank_in_category(user_sequence(enriched, partitions), partitions), partitions
-    )
+    """All six transaction windows; the bounds of every pass are drawn from the input."""
+    rows = user_sequence(enriched, partitions)
+    rows = rank_in_category(rows, partitions, sampled=enriched)
+    return rank_in_month(rows, partitions, sampled=enriched)
