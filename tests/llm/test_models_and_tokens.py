@@ -130,6 +130,21 @@ def test_language_of_odd_texts(spark, docs):
     assert 0 <= min(scores) and max(scores) <= 1
 
 
+def test_long_texts_are_cut_where_grams_end():
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abcé1.") for _ in range(rng.randint(1, 9))) for _ in range(n))
+             for n in (300, 1, 0, 40)] + [None, "x" * 500]
+    whole, owner = language.text_grams(texts[:5])
+    seen = []
+    for rows, parts in language.pieces(texts[:5], 50):
+        assert max(map(len, parts)) <= 50
+        grams, of = language.text_grams(parts)
+        seen += zip(rows[of].tolist(), grams.tolist())
+    assert sorted(seen) == sorted(zip(owner.tolist(), whole.tolist()))
+    cut = [p for _, parts in language.pieces(texts, 50) for p in parts]
+    assert "".join(cut) == "".join(t or "" for t in texts)
+
+
 def test_filter_answers_for_all_languages():
     rng = np.random.default_rng(1)
     names = [f"l{k}" for k in range(70)]  # more than one word of bits

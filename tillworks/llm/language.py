@@ -78,27 +78,61 @@ def text_grams(texts):
     return grams, np.concatenate((owner[1:-1][take3], owner[1:-2][take4]))
 
 
+def pieces(texts, limit: int = _SLICE):
+    """Texts in groups of about ``limit`` characters, with the text that each piece is from.
+
+    A longer text is cut after a space, where a gram ends anyway, so its pieces have the grams of
+    the whole (a run of ``limit`` characters without a space is cut as it comes).
+    """
+    rows, parts, size = [], [], 0
+    for row, text in enumerate(texts):
+        text, start = text or "", 0
+        while True:
+            stop = len(text)
+            if stop - start > limit:
+                stop = text.rfind(" ", start, start + limit) + 1
+                stop = stop if stop > start else start + limit
+            rows.append(row)
+            parts.append(text[start:stop])
+            size += stop - start
+            if size >= limit:
+                yield np.array(rows), parts
+                rows, parts, size = [], [], 0
+            start = stop
+            if start >= len(text):
+                break
+    if rows:
+        yield np.array(rows), parts
+
+
 def _counted(batches):
-    """n-grams of labelled texts with their counts, summed per slice."""
+    """n-grams of labelled texts with their counts, summed per group of pieces."""
     for batch in batches:
         for part in slices(batch, "text", _SLICE):
             names = part.column(0).to_pylist()
             place = {name: i for i, name in enumerate(dict.fromkeys(names))}
-            grams, owner = text_grams(part.column(1).to_pylist())
-            language = np.array([place[n] for n in names], dtype=np.int64)[owner]
-            order = np.lexsort((grams, language))
-            grams, language = grams[order], language[order]
-            new = np.ones(len(grams), dtype=bool)
-            new[1:] = (grams[1:] != grams[:-1]) | (language[1:] != language[:-1])
-            starts = np.flatnonzero(new)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(place)).take(pa.array(language[starts])).cast(pa.string()),
-                    pa.array(grams[starts].view(np.int64)),
-                    pa.array(np.diff(np.append(starts, len(grams)))),
-                ],
-                names=["lang", "gram", "n"],
-            )
+            languages = np.array([place[n] for n in names], dtype=np.int64)
+            for rows, texts in pieces(part.column(1).to_pylist()):
+                yield _grams_of(languages[rows], list(place), texts)
+
+
+def _grams_of(languages, names, texts):
+    """One row per language and n-gram of the texts, with its count."""
+    grams, owner = text_grams(texts)
+    language = languages[owner]
+    order = np.lexsort((grams, language))
+    grams, language = grams[order], language[order]
+    new = np.ones(len(grams), dtype=bool)
+    new[1:] = (grams[1:] != grams[:-1]) | (language[1:] != language[:-1])
+    starts = np.flatnonzero(new)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(names, pa.string()).take(pa.array(language[starts])),
+            pa.array(grams[starts].view(np.int64)),
+            pa.array(np.diff(np.append(starts, len(grams)))),
+        ],
+        names=["lang", "gram", "n"],
+    )
 
 
 def fit(
@@ -152,22 +186,24 @@ def _predict(batches, model):
     languages = np.array([*model.languages, UNKNOWN], dtype=object)
     for batch in batches:
         for part in slices(batch, "text", _SLICE):
-            grams, owner = text_grams(part.column(1).to_pylist())
             n = part.num_rows
-            total = np.bincount(owner, minlength=n)
-            best, pick = np.zeros(n), np.full(n, len(model.languages))
-            if len(grams) and model.languages:
+            total, hits = np.zeros(n), np.zeros((len(model.languages), n))
+            for rows, texts in pieces(part.column(1).to_pylist()):
+                grams, owner = text_grams(texts)
+                owner = rows[owner]
+                total += np.bincount(owner, minlength=n)
                 masks = model.masks(grams)
-                best -= 1
-                for i, wrong in enumerate(model.wrong):
+                for i in range(len(model.languages)):
                     bit = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-                    hits = np.bincount(owner, weights=bit, minlength=n)
-                    corrected = (hits / np.maximum(total, 1) - wrong) / (1 - wrong)
-                    corrected = np.clip(corrected, 0, 1)
-                    pick = np.where(corrected > best, i, pick)
-                    best = np.maximum(best, corrected)
-                pick = np.where(total, pick, len(model.languages))
-                best = np.where(total, best, 0.0)
+                    hits[i] += np.bincount(owner, weights=bit, minlength=n)
+            best, pick = np.full(n, -1.0), np.full(n, len(model.languages))
+            for i, wrong in enumerate(model.wrong):
+                corrected = (hits[i] / np.maximum(total, 1) - wrong) / (1 - wrong)
+                corrected = np.clip(corrected, 0, 1)
+                pick = np.where(corrected > best, i, pick)
+                best = np.maximum(best, corrected)
+            pick = np.where(total > 0, pick, len(model.languages))
+            best = np.where((total > 0) & (best > 0), best, 0.0)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
