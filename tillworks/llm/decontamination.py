@@ -8,11 +8,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.arrowtext import mix, ranges, slices
+from tillworks.llm.arrowtext import mix, powers, ranges, slices
 from tillworks.llm.storage import stored
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 _SIEVE = 1 << 22
+_SLOTS = 20
+_NOTHING = np.uint32(0xFFFFFFFF)
+_ALIGNED = 4096
 _MATCHES = "doc_id bigint, item_id bigint, start bigint, end bigint, edits int, passage string"
 
 
@@ -50,44 +54,108 @@ def grams(codes: np.ndarray, q: int) -> np.ndarray:
     return mix(h)
 
 
+def _joins_words(codes: np.ndarray) -> np.ndarray:
+    """Whether each code point is part of a word that spaces or marks end; signs of scripts
+    that are written without spaces are not."""
+    if not len(codes):
+        return np.zeros(0, dtype=bool)
+    used = np.flatnonzero(np.bincount(codes))
+    joins = np.zeros(int(used[-1]) + 1, dtype=bool)
+    for code in used:
+        unspaced = 0x0E00 <= code < 0x1000 or 0x2E80 <= code < 0xA000 or code >= 0x20000
+        joins[code] = chr(code).isalnum() and not unspaced
+    return joins[codes]
+
+
+def _prefix_sums(codes: np.ndarray) -> np.ndarray:
+    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers(len(codes), _FACTOR), out=sums[1:])
+    return sums
+
+
+@dataclass
+class Patterns:
+    """Runs of code points to find, with their edits and the q-grams that each must share."""
+
+    owners: np.ndarray  # place of each one's item
+    places: np.ndarray  # in that item
+    texts: list
+    edits: np.ndarray
+    shared: np.ndarray
+    starts: np.ndarray  # of the postings of each key
+    items: np.ndarray
+    offsets: np.ndarray
+
+
 @dataclass
 class Index:
-    """The q-grams of a bounded set of items, with the edits and shared q-grams of each item."""
+    """The q-grams of a bounded set of items: of the whole items, and of windows of them."""
 
     q: int
+    window: int
     ids: np.ndarray
     texts: list  # code points per item
-    edits: np.ndarray
-    shared: np.ndarray
     keys: np.ndarray  # distinct q-grams, sorted
-    starts: np.ndarray  # of their postings
-    items: np.ndarray
-    offsets: np.ndarray
+    whole: Patterns
+    windows: Patterns | None
+    short_ids: dict  # by length: the ids of items under the floor
+    short_texts: dict
+    short_hashes: dict
 
 
-def build_index(ids, texts, q: int, rate: float, min_chars: int) -> Index:
-    """Index items of ``min_chars`` normalised characters or more.
+def _patterns(owners, places, texts, q, rate, keys) -> Patterns:
+    sizes = np.array([len(c) for c in texts], dtype=np.int64)
+    edits = np.minimum((sizes * rate).astype(np.int64), (sizes - q) // q)
+    hashes = [grams(c, q) for c in texts]
+    counts = np.array([len(h) for h in hashes], dtype=np.int64)
+    item, offset = np.repeat(np.arange(len(texts)), counts), ranges(counts)
+    flat = np.searchsorted(keys, np.concatenate([np.zeros(0, dtype=np.uint64), *hashes]))
+    order = np.argsort(flat, kind="stable")
+    return Patterns(
+        np.array(owners, dtype=np.int64), np.array(places, dtype=np.int64), texts, edits,
+        sizes - q + 1 - edits * q, np.searchsorted(flat[order], np.arange(len(keys) + 1)),
+        item[order], offset[order],
+    )
 
-    An item of m characters may have ``rate * m`` edits, fewer if otherwise it need share no
-    q-gram: an occurrence with k edits shares m - q + 1 - kq of them (the q-gram lemma).
+
+def build_index(ids, texts, q: int, rate: float, min_chars: int, window: int | None = None) -> Index:
+    """Index items; those under ``min_chars`` normalised characters for exact matches only.
+
+    An item or window of m characters may have ``rate * m`` edits, fewer if otherwise it need share
+    no q-gram: an occurrence with k edits shares m - q + 1 - kq of them (the q-gram lemma). Windows
+    begin at every third of their length, and one ends where the item ends.
     """
-    names, codes = [], []
+    names, codes, short = [], [], {}
     for name, text in zip(ids, texts):
         code = normalised([text.strip()])[0]
         if len(code) >= max(min_chars, q):
             names.append(name)
             codes.append(code)
-    sizes = np.array([len(c) for c in codes], dtype=np.int64)
-    edits = np.minimum((sizes * rate).astype(np.int64), (sizes - q) // q)
-    hashes = [grams(c, q) for c in codes]
-    item = np.repeat(np.arange(len(codes)), [len(h) for h in hashes]).astype(np.int64)
-    offset = ranges(np.array([len(h) for h in hashes], dtype=np.int64))
-    flat = np.concatenate([np.zeros(0, dtype=np.uint64), *hashes])
-    order = np.argsort(flat, kind="stable")
-    keys, starts = np.unique(flat[order], return_index=True)
+        elif len(code):
+            short.setdefault(len(code), []).append((name, code))
+    keys = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *[grams(c, q) for c in codes]]))
+    whole = _patterns(np.arange(len(codes)), np.zeros(len(codes)), codes, q, rate, keys)
+    windows = None
+    if window:
+        at = [
+            (i, p)
+            for i, c in enumerate(codes)
+            if len(c) > window
+            for p in sorted({*range(0, len(c) - window, max(window // 3, 1)), len(c) - window})
+        ]
+        parts = [codes[i][p : p + window] for i, p in at]
+        if parts:
+            windows = _patterns([i for i, _ in at], [p for _, p in at], parts, q, rate, keys)
+    short_ids, short_texts, short_hashes = {}, {}, {}
+    for length, found in short.items():
+        hashes = np.array([_prefix_sums(c)[-1] for _, c in found], dtype=np.uint64)
+        order = np.argsort(hashes, kind="stable")
+        short_ids[length] = [found[i][0] for i in order]
+        short_texts[length] = [found[i][1] for i in order]
+        short_hashes[length] = hashes[order]
     return Index(
-        q, np.array(names, dtype=np.int64), codes, edits, sizes - q + 1 - edits * q, keys,
-        np.append(starts, len(flat)), item[order], offset[order],
+        q, window or 0, np.array(names, dtype=np.int64), codes, keys, whole, windows,
+        short_ids, short_texts, short_hashes,
     )
 
 
@@ -115,12 +183,8 @@ def best_alignment(item: np.ndarray, text: np.ndarray, edits: int):
     return int(row[end]), end - int(back.argmin()), end
 
 
-def _candidates(codes, owner, index):
-    """Diagonal bands with as many shared q-grams as an occurrence must have.
-
-    A band of an item with k edits spans 2(k + 1) diagonals and overlaps the next by half, so the
-    k + 1 diagonals of an occurrence lie in one.
-    """
+def _hits(codes, owner, index):
+    """Places of q-grams that items have too, and which they are."""
     hashes = grams(codes, index.q)
     sieve = np.zeros(_SIEVE, dtype=bool)
     low = np.uint64(_SIEVE - 1)
@@ -129,25 +193,139 @@ def _candidates(codes, owner, index):
     place = np.searchsorted(index.keys, hashes[at])
     place = np.minimum(place, len(index.keys) - 1)
     hit = index.keys[place] == hashes[at]
-    at, place = at[hit], place[hit]
-    counts = index.starts[place + 1] - index.starts[place]
-    posting = np.repeat(index.starts[place], counts) + ranges(counts)
-    item, at = index.items[posting], np.repeat(at, counts)
-    diagonal = at - index.offsets[posting] + int(len(codes) + 1)  # positive
-    band = diagonal // (index.edits[item] + 1)
+    return at[hit], place[hit]
+
+
+def _candidates(codes, owner, at, place, patterns):
+    """Diagonal bands with as many shared q-grams as an occurrence must have.
+
+    A band of a pattern with k edits spans 2(k + 1) diagonals and overlaps the next by half, so the
+    k + 1 diagonals of an occurrence lie in one.
+    """
+    counts = patterns.starts[place + 1] - patterns.starts[place]
+    posting = np.repeat(patterns.starts[place], counts) + ranges(counts)
+    item, at = patterns.items[posting], np.repeat(at, counts)
+    diagonal = at - patterns.offsets[posting] + int(len(codes) + 1)  # positive
+    band = diagonal // (patterns.edits[item] + 1)
     rows = int(owner[-1]) + 1 if len(owner) else 1
     width = 2 * len(codes) + 4
     key = (item * width + band) * rows + owner[at]
-    key = np.concatenate((key, key - rows))
+    key, least = np.concatenate((key, key - rows)), np.tile(patterns.shared[item], 2)
+    # Bands that share a slot are counted as one, so none with enough is left out here.
+    slot = ((key.astype(np.uint64) * _FACTOR) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+    key = key[np.bincount(slot, minlength=1 << _SLOTS)[slot] >= least]
     key, shared = np.unique(key, return_counts=True)
     item = key // rows // width
-    enough = shared >= index.shared[item]
+    enough = shared >= patterns.shared[item]
     key, item = key[enough], item[enough]
     band, row = key // rows % width, key % rows
-    first = band * (index.edits[item] + 1) - int(len(codes) + 1)
+    first = band * (patterns.edits[item] + 1) - int(len(codes) + 1)
     return item, row, first
 
 
+def _last_rows(patterns, stretches, anchored):
+    """The last row of the edit matrix of each pattern and its stretch."""
+    steps = np.arange(stretches.shape[1] + 1, dtype=np.int16)
+    row = np.tile(steps if anchored else np.zeros_like(steps), (len(patterns), 1))
+    for i in range(patterns.shape[1]):
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        np.minimum(row[:, :-1] + (stretches != patterns[:, i : i + 1]), row[:, 1:] + 1, out=new[:, 1:])
+        row = np.minimum.accumulate(new - steps, axis=1) + steps
+    return row
+
+
+def _aligned_windows(codes, starts, window, row, first, patterns):
+    """Windows that align within their edits: the candidate's place, and the stretch's."""
+    edits, length = int(patterns.edits[0]), len(patterns.texts[0])
+    texts = np.stack(patterns.texts)
+    for c in range(0, len(window), _ALIGNED):
+        of = slice(c, c + _ALIGNED)
+        low, high = starts[row[of]], starts[row[of] + 1]
+
+        def stretch(at, low=low, high=high):
+            inside = (at >= low[:, None]) & (at < high[:, None])
+            return np.where(inside, codes[np.clip(at, 0, len(codes) - 1)], _NOTHING)
+
+        begin = first[of] - edits
+        pattern = texts[window[of]]
+        last = _last_rows(pattern, stretch(begin[:, None] + np.arange(length + 4 * edits + 2)), False)
+        end = begin + last.argmin(axis=1)
+        near = np.flatnonzero(last.min(axis=1) <= edits)
+        if not len(near):
+            continue
+        low, high, end = low[near], high[near], end[near]
+        back = end[:, None] - 1 - np.arange(length + edits)
+        back = _last_rows(pattern[near][:, ::-1], stretch(back, low, high), True)
+        start = np.maximum(end - back.argmin(axis=1), low)
+        yield from zip(c + near, start.tolist(), np.minimum(end, high).tolist())
+
+
+def _distance(a, b):
+    return int(_last_rows(a[None, :], b[None, :], True)[0, -1])
+
+
+def _partial(codes, starts, candidates, index, whole):
+    """Passages that are part of an item: neighbouring windows in one, outside whole items."""
+    windows, step = index.windows, max(index.window // 3, 1)
+    window, row, first = candidates
+    item = windows.owners[window]
+    inside = np.array(
+        [
+            any(a - step <= f and f + index.window <= b + step for a, b in whole.get((r, i), ()))
+            for r, i, f in zip(row.tolist(), item.tolist(), first.tolist())
+        ],
+        dtype=bool,
+    )
+    window, row, first, item = (x[~inside] for x in (window, row, first, item))
+    hits = {
+        (int(row[n]), int(item[n]), start, end, int(windows.places[window[n]]))
+        for n, start, end in _aligned_windows(codes, starts, window, row, first, windows)
+    }
+    runs = []
+    for r, i, start, end, place in sorted(hits):
+        slack = 2 * int(windows.edits[0])
+        for run in reversed(runs):
+            if run[:2] != [r, i]:
+                run = None
+                break
+            near = start <= run[3] + step and abs((place - run[6]) - (start - run[7])) <= slack
+            if near and place >= run[6]:
+                break
+        else:
+            run = None
+        if run:
+            run[3], run[5] = max(run[3], end), max(run[5], place + index.window)
+            run[6], run[7] = place, start
+        else:
+            runs.append([r, i, start, end, place, place + index.window, place, start])
+    for r, i, start, end, a, b, _, _ in runs:
+        text = index.texts[i]
+        while a and start > starts[r] and text[a - 1] == codes[start - 1]:
+            a, start = a - 1, start - 1
+        while b < len(text) and end < starts[r + 1] and text[b] == codes[end]:
+            b, end = b + 1, end + 1
+        yield r, i, start, end, _distance(text[a:b], codes[start:end])
+
+
+def _short(codes, owner, index):
+    """Items under the floor, exact and not within longer words."""
+    joins = _joins_words(codes)
+    inner = np.zeros(len(codes) + 1, dtype=bool)  # between two signs of one word
+    inner[1:-1] = joins[1:] & joins[:-1] & (owner[1:] == owner[:-1])
+    edges, sums, inverse = np.flatnonzero(~inner), _prefix_sums(codes), powers(len(codes) + 1, _INVERSE)
+    for length, hashes in index.short_hashes.items():
+        at = edges[edges + length <= len(codes)]
+        at = at[~inner[at + length] & (owner[at] == owner[at + length - 1])]
+        have = (sums[at + length] - sums[at]) * inverse[at]
+        left, right = np.searchsorted(hashes, have), np.searchsorted(hashes, have, side="right")
+        for n in np.flatnonzero(left < right):
+            start = int(at[n])
+            for k in range(left[n], right[n]):
+                if np.array_equal(index.short_texts[length][k], codes[start : start + length]):
+                    yield int(owner[start]), index.short_ids[length][k], start, start + length, 0
+
+
 def _search(batches, index):
     names = [c.split()[0] for c in _MATCHES.split(", ")]
     types = [pa.int64()] * 4 + [pa.int32(), pa.string()]
@@ -155,26 +333,37 @@ def _search(batches, index):
         for part in slices(batch, "text", 2 << 20):
             texts = [t or "" for t in part.column(1).to_pylist()]
             codes, owner, place = normalised(texts)
-            if len(codes) < index.q or not len(index.keys):
+            if not len(codes):
                 continue
             starts = np.searchsorted(owner, np.arange(len(texts) + 1))
-            found = set()
-            for item, row, first in zip(*_candidates(codes, owner, index)):
-                pattern, edits = index.texts[item], int(index.edits[item])
-                low = max(int(starts[row]), int(first) - edits)
-                high = min(int(starts[row + 1]), int(first) + 3 * edits + 2 + len(pattern))
-                aligned = best_alignment(pattern, codes[low:high], edits)
-                if aligned:
-                    cost, start, end = aligned
-                    found.add((int(row), int(item), low + start, low + end, cost))
+            found, whole = set(), {}
+            if len(codes) >= index.q and len(index.keys):
+                at, key = _hits(codes, owner, index)
+                for item, row, first in zip(*_candidates(codes, owner, at, key, index.whole)):
+                    pattern, edits = index.texts[item], int(index.whole.edits[item])
+                    low = max(int(starts[row]), int(first) - edits)
+                    high = min(int(starts[row + 1]), int(first) + 3 * edits + 2 + len(pattern))
+                    aligned = best_alignment(pattern, codes[low:high], edits)
+                    if aligned:
+                        cost, start, end = aligned
+                        found.add((int(row), int(index.ids[item]), low + start, low + end, cost))
+                        whole.setdefault((int(row), int(item)), []).append((low + start, low + end))
+                if index.windows:
+                    parts = _candidates(codes, owner, at, key, index.windows)
+                    for row, item, start, end, cost in _partial(codes, starts, parts, index, whole):
+                        over = index.window  # windows at the edges of a whole item reach beyond it
+                        if not any(
+                            a - over <= start and end <= b + over for a, b in whole.get((row, item), ())
+                        ):
+                            found.add((row, int(index.ids[item]), start, end, cost))
+            if index.short_hashes:
+                found.update(_short(codes, owner, index))
             if found:
                 ids = part.column(0)
                 lines = []
                 for row, item, start, end, cost in sorted(found):
                     start, end = int(place[start]), int(place[end - 1]) + 1
-                    lines.append(
-                        (ids[row].as_py(), int(index.ids[item]), start, end, cost, texts[row][start:end])
-                    )
+                    lines.append((ids[row].as_py(), item, start, end, cost, texts[row][start:end]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*lines), types)], names=names
                 )
@@ -187,12 +376,14 @@ def find_passages(
     q: int = 8,
     min_chars: int = 40,
     slice_chars: int = 1 << 20,
+    window: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """Stretches of documents that are an item with at most ``rate`` edits per character.
+    """Stretches of documents that are an item with at most ``rate`` edits per character; with
+    ``window``, also stretches that are part of an item.
 
     Returns ``doc_id, item_id, start, end, edits, passage``: the stretch in code points of the
     original text. Texts are compared lower-cased and with white space as single spaces. Shared
@@ -200,8 +391,13 @@ def find_passages(
     aligned. Items go to the tasks in slices of ``slice_chars`` characters (or one item), so what
     is broadcast is bounded; each slice is one pass over the documents.
 
-    Null and empty texts match nothing; items that are null, have a null id or fewer than
-    ``min_chars`` characters are left out. Items with equal texts are all reported; repeated rows
+    Items longer than ``window`` are also cut into windows of that many characters that begin at
+    every third of it, each with its own edits. Windows that are found next to each other are one
+    passage, as far as it goes on unedited; ``edits`` are those to the part of the item that it is.
+    So every verbatim stretch of an item of ``4 * window / 3`` characters or more is found. Items
+    with fewer than ``min_chars`` characters must occur unedited and not within longer words.
+
+    Null and empty texts match nothing; items that are null or have a null id are left out. Items with equal texts are all reported; repeated rows
     are each searched, and a null document id stays. With an empty table the result is empty;
     other columns are ignored.
     """
@@ -214,7 +410,7 @@ def find_passages(
     results, ids, texts, size = [], [], [], 0
 
     def search():
-        index = build_index(ids, texts, q, rate, min_chars)
+        index = build_index(ids, texts, q, rate, min_chars, window)
         results.append(rows.mapInArrow(partial(_search, index=index), _MATCHES))
 
     for item in listed.toLocalIterator():

@@ -104,7 +104,7 @@ def op10(spark, folder):
 @query("op2_benchmark_decontamination")
 def op2(spark, folder):
     return decontamination.find_passages(
-        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), rate=0.1
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), rate=0.1, window=48
     )
 
 
