@@ -60,6 +60,8 @@ _AROUND = set(
     " pagination pager footer footnav colophon masthead topbar skip teaser teasers".split()
 )
 _AROUND_OUTSIDE = {"header"}
+#: A text with fewer characters outside links is not an article's.
+_LEAST_CHARS = 200
 _WORD = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -67,7 +69,7 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 class _Node:
     __slots__ = (
         "tag", "parent", "outside", "in_article", "parts", "chars", "tags", "link_chars",
-        "link_tags", "density", "total",
+        "link_tags", "density", "total", "named",
     )
 
     def __init__(self, tag, parent, outside, in_article):
@@ -75,30 +77,77 @@ class _Node:
         self.parts = []  # texts and nodes in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.named = 0  # 1: a class or id has a word of _AROUND, 2: begins with one
 
 
-def _is_outside(tag, attributes, in_article):
+def _standing(tag, attributes, in_article):
+    """Whether an element is never main text, and how its class and id name it."""
     if tag in _NEVER or (tag == "header" and not in_article):
-        return True
+        return True, 0
     if tag in ("html", "body", "main") or not attributes:
-        return False
+        return False, 0
     found = {}
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), html.unescape(a or b or c).lower())
     if "hidden" in found or found.get("aria-hidden") == "true":
-        return True
+        return True, 0
     if found.get("role") in _ROLES or _HIDDEN.search(found.get("style", "")):
-        return True
-    named = _WORD.findall(found.get("class", "") + " " + found.get("id", ""))
-    names = {w.rstrip("0123456789") for w in named}  # "ad-3" and "ad3" alike
-    return bool(names & _AROUND) or (not in_article and bool(names & _AROUND_OUTSIDE))
+        return True, 0
+    around = _AROUND if in_article else _AROUND | _AROUND_OUTSIDE
+    named = 0
+    for token in (found.get("class", "") + " " + found.get("id", "")).split():
+        words = [w.rstrip("0123456789") for w in _WORD.findall(token)]  # "ad-3" and "ad3" alike
+        if words and words[0] in around:
+            return False, 2
+        if not around.isdisjoint(words):
+            named = 1
+    return False, named
+
+
+def _set_named_aside(root):
+    """Names put a subtree aside if it cannot be the main text: if it has no more than half of the
+    page's characters outside links, or few, or an article elsewhere has enough of its own. What
+    holds an article goes only in the last case, and what holds <main> never."""
+    order, pending = [], [(root, False, False)]
+    # Characters outside links, whether there is an article or <main>, and characters of articles
+    # that no name within the article puts aside.
+    below = {}
+    while pending:
+        node, link, named = pending.pop()
+        order.append(node)
+        link = link or node.tag == "a"
+        if node.tag in ("article", "main"):
+            named = node.named == 2
+        else:
+            named = named or node.named > 0
+        chars = 0 if link else sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        free = chars if node.in_article and not named else 0
+        below[node] = [chars, node.tag == "article", node.tag == "main", free]
+        pending += [(p, link, named) for p in node.parts if isinstance(p, _Node) and not p.outside]
+    for node in reversed(order):
+        if node.parent is not None:
+            above, own = below[node.parent], below[node]
+            above[0] += own[0]
+            above[1], above[2] = above[1] or own[1], above[2] or own[2]
+            above[3] += own[3]
+    for node in order:
+        if node.named:
+            chars, article, main, free = below[node]
+            others = below[root][3] - free
+            elsewhere = others >= _LEAST_CHARS
+            if main:
+                continue
+            if article:
+                node.outside = elsewhere and others > free and node.named == 2
+            else:
+                node.outside = elsewhere or chars < _LEAST_CHARS or 2 * chars <= below[root][0]
 
 
 def parse(page: str) -> _Node:
     """A tree of the page's elements; missing end tags are supplied where HTML lets them be left
     out, and end tags without a start are ignored."""
     root = _Node("html", None, False, False)
-    stack, at, size, quotes = [root], 0, len(page), True
+    stack, at, size, quotes, any_named = [root], 0, len(page), True, False
     match = _TOKEN.search
     while at < size:
         found = match(page, at)
@@ -155,8 +204,11 @@ def parse(page: str) -> _Node:
                     if stack[i].tag in within:
                         break
             parent = stack[-1]
-            outside = parent.outside or _is_outside(tag, attributes, parent.in_article)
+            outside, named = _standing(tag, attributes, parent.in_article)
+            outside = parent.outside or outside
             node = _Node(tag, parent, outside, parent.in_article or tag in ("article", "main"))
+            node.named = named
+            any_named = any_named or (named and not outside)
             parent.parts.append(node)
             if tag in _RAW or tag in _RAW_TEXT:
                 close = _CLOSE[tag].search(page, at)
@@ -165,6 +217,8 @@ def parse(page: str) -> _Node:
                 stack.append(node)
         elif found.group().startswith("<![CDATA["):
             stack[-1].parts.append(found.group()[9:].removesuffix("]]>"))
+    if any_named:
+        _set_named_aside(root)
     return root
 
 
@@ -279,7 +333,8 @@ def extract_text(
     """``page_id, url, text`` of every page.
 
     A page becomes a tree of elements. Elements that are never main text (menus, forms, scripts,
-    and what its class, id or role names as standing around an article) are set aside. Every other
+    and what its role names as standing around an article) are set aside. So is what a class or id
+    names so, unless it may be the main text itself: it holds most of the page, or the article. Every other
     node gets its link-adjusted characters per tag; the container with the greatest sum over its
     children is the main text, widened towards the body by the least density on that path.
 
