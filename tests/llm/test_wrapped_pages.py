@@ -26,3 +26,15 @@ COMMENTS = "<p>A reader has something to say here, and goes on about it for long
 )
 def test_names_do_not_decide_alone(page):
     assert html_text.main_text(f"<html><body><nav>menu</nav>{page}<footer>f</footer></body></html>") == TEXT
+
+
+@pytest.mark.parametrize("around", ["{}", "<div>{}</div>", "<main>{}</main>", "<div><div>{}</div></div>"])
+@pytest.mark.parametrize("part", ["<article>{}</article>", "<div><article>{}</article></div>"])
+def test_articles_in_several_parts(around, part):
+    parts = "".join(part.format(BODY.replace("article", f"part {k}")) for k in range(3))
+    links = '<article><p><a href="/x">Another page of this site, with a long title to read</a></p></article>'
+    page = f"<body><nav>menu</nav>{around.format(parts)}<footer>f</footer></body>"
+    want = "\n".join(TEXT.replace("article", f"part {k}") for k in range(3))
+    assert html_text.main_text(page) == want
+    alone = f"<body><div><article>{BODY}</article>{links * 3}<div><p>{'Other text. ' * 40}</p></div></div></body>"
+    assert html_text.main_text(alone) == TEXT

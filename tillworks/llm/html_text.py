@@ -254,7 +254,8 @@ def _measure(root):
 
 def _main_node(root):
     """The container whose children's densities have the greatest sum, widened on the way to the
-    body as far as what is added is as dense as the least dense node of that way."""
+    body as far as what is added is as dense as the least dense node of that way. An <article> or
+    <main> on that way is where to stop, but for more articles beside it."""
     candidates = [n for n in _measure(root) if n.tag in _CONTAINERS and n.chars]
     if not candidates:
         return root
@@ -262,10 +263,12 @@ def _main_node(root):
     path = [best]
     while path[-1].parent is not None:
         path.append(path[-1].parent)
-    for node in path:
-        if node.tag in ("article", "main"):
-            return node
     threshold = min(n.density for n in path if n.tag != "html" or n is best)
+    for k, node in enumerate(path):
+        if node.tag == "main":
+            return node
+        if node.tag == "article":
+            return _with_sibling_articles(path[k:], threshold)
     for node in path[1:]:
         if node.tag in ("html", "body"):
             break
@@ -281,6 +284,32 @@ def _main_node(root):
     return best
 
 
+def _with_sibling_articles(path, threshold):
+    """The first node of the path, an article, or the widest on the way to the body of which most
+    that is added are articles as dense as the threshold and not mostly links."""
+    best, holds = path[0], {}
+    order = [path[-1]]
+    for node in order:
+        order += [p for p in node.parts if isinstance(p, _Node) and not p.outside]
+    for node in reversed(order):
+        inner = (p for p in node.parts if isinstance(p, _Node) and not p.outside)
+        holds[node] = node.tag == "article" or any(holds[p] for p in inner)
+    added = dense = 0
+    for below, node in zip(path, path[1:]):
+        for p in node.parts:
+            if isinstance(p, str):
+                added += len("".join(p.split()))
+            elif not p.outside and p is not below:
+                added += p.chars
+                if holds[p] and p.density >= threshold and p.link_chars * 3 < p.chars:
+                    dense += p.chars
+        if dense and 2 * dense >= added:
+            best = node
+        if node.tag in ("main", "body"):
+            break
+    return best
+
+
 def _blocks(top):
     """The texts of a subtree's blocks in page order, white space as single spaces."""
     blocks, run = [], []
