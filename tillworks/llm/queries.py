@@ -7,6 +7,7 @@ from tillworks.llm import (
     html_text,
     language,
     lines,
+    merkle,
     packing,
     quality,
     simhash,
@@ -17,6 +18,7 @@ from tillworks.llm import (
 
 QUERIES = {}
 ORACLES = {}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def query(key: str, sql: str | None = None):
@@ -137,3 +139,103 @@ def op2(spark, folder):
 )
 def op5(spark, folder):
     return lines.remove_boilerplate(_table(spark, folder, "documents"), min_sites=10)
+
+
+@query(
+    "op12_merkle_manifest",
+    """
+    WITH RECURSIVE table_step AS (
+        SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda a, z: xor(a >> 1, 3988292384 * (a & 1))) ORDER BY b) AS t
+        FROM (SELECT unnest(range(0, 256))::BIGINT AS b)
+    ), coded AS (
+        SELECT doc_id, source, lang, n_chars, text, doc_id::VARCHAR AS id,
+               list_reduce(list_concat([4294967295::BIGINT],
+                           list_transform(range(1, len(doc_id::VARCHAR) + 1),
+                                          lambda k: ascii(substr(doc_id::VARCHAR, k, 1))::BIGINT)),
+                           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])) AS crc
+        FROM documents, table_step
+    ), chosen AS (
+        SELECT *, coalesce(xor(crc, 4294967295) % 5 = 0, false) AS touched FROM coded
+    ), hashed AS (
+        SELECT doc_id, source,
+               sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS shown
+        FROM (
+            SELECT *, coalesce(strlen(id) || ':' || id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   CASE WHEN touched THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                    'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed
+            FROM chosen
+        )
+    ), placed AS (
+        SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+               row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+        FROM hashed
+    ), nodes AS (
+        SELECT tree::BIGINT AS tree, 0 AS level, place::BIGINT AS place, leaf AS digest,
+               count(*) OVER (PARTITION BY tree) AS n
+        FROM placed
+        UNION ALL
+        SELECT tree, level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 15) // 16
+        FROM nodes WHERE n > 1 GROUP BY tree, level, place // 16
+    ), upper_nodes AS (
+        SELECT 0 AS level, tree AS place, digest, count(*) OVER () AS n FROM nodes WHERE n = 1
+        UNION ALL
+        SELECT level + 1, place // 16, sha256(string_agg(digest, '' ORDER BY place)), (any_value(n) + 15) // 16
+        FROM upper_nodes WHERE n > 1 GROUP BY level, place // 16
+    ), runs AS (
+        SELECT tree, level, place // 16 AS run, list(digest ORDER BY place) AS digests
+        FROM nodes WHERE n > 1 GROUP BY tree, level, place // 16
+        UNION ALL
+        SELECT -1, level, place // 16, list(digest ORDER BY place)
+        FROM upper_nodes WHERE n > 1 GROUP BY level, place // 16
+    ), climb AS (
+        SELECT doc_id, tree AS own, place AS leaf_place, tree, 0 AS level, place, shown AS folded, '' AS proof,
+               (SELECT max(level) FROM nodes k WHERE k.tree = placed.tree) AS top
+        FROM placed
+        UNION ALL
+        SELECT doc_id, own, leaf_place, up.tree, up.level + 1, up.place // 16,
+               sha256(array_to_string(list_transform(digests, lambda d, i: if(i = up.place % 16 + 1, folded, d)), '')),
+               proof || array_to_string(list_filter(digests, lambda d, i: i <> up.place % 16 + 1), ''), top
+        FROM (
+            SELECT * REPLACE (CASE WHEN tree >= 0 AND level = top THEN -1 ELSE tree END AS tree,
+                              CASE WHEN tree >= 0 AND level = top THEN 0 ELSE level END AS level,
+                              CASE WHEN tree >= 0 AND level = top THEN own ELSE place END AS place)
+            FROM climb
+        ) up JOIN runs r ON r.tree = up.tree AND r.level = up.level AND r.run = up.place // 16
+    ), arrived AS (
+        SELECT own, leaf_place, arg_max(folded, level + 1000 * (tree < 0)::INT) AS folded,
+               arg_max(proof, level + 1000 * (tree < 0)::INT) AS proof
+        FROM climb GROUP BY own, leaf_place
+    )
+    SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, sha256(a.proof) AS proof_sha256,
+           a.folded AS folded_root, a.folded = r.digest AS verified
+    FROM placed p JOIN arrived a ON a.own = p.tree AND a.leaf_place = p.place
+    JOIN nodes s ON s.tree = p.tree AND s.n = 1
+    CROSS JOIN (SELECT digest FROM upper_nodes WHERE n = 1) r
+    """,
+)
+def op12(spark, folder):
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = _table(spark, folder, "documents").select(*fields)
+    lowered = F.translate("text", _UPPER, _UPPER.lower())
+    touched = F.coalesce(_remainder(5) == 0, F.lit(False))
+    leaves = docs.select(
+        "doc_id",
+        "source",
+        merkle.digest_of(fields).alias("digest"),
+        F.when(touched, merkle.digest_of(fields, {"text": lowered})).alias("changed"),
+    ).withColumn("presented", F.coalesce("changed", "digest"))
+    manifest = merkle.build(leaves.drop("changed"), "source", [F.col("doc_id")])
+    return merkle.verify(spark, manifest, "presented").select(
+        "doc_id",
+        F.lower(F.hex("digest")).alias("leaf"),
+        "subroot",
+        "root",
+        F.sha2("siblings", 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
