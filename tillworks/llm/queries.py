@@ -10,6 +10,7 @@ from tillworks.llm import (
     merkle,
     packing,
     quality,
+    resampling,
     simhash,
     substring,
     tokencount,
@@ -239,3 +240,58 @@ def op12(spark, folder):
         "folded_root",
         "verified",
     )
+
+
+@query(
+    "op13_importance_resampling",
+    """
+    WITH table_step AS (
+        SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda a, z: xor(a >> 1, 3988292384 * (a & 1))) ORDER BY b) AS t
+        FROM (SELECT unnest(range(0, 256))::BIGINT AS b)
+    ), worded AS (
+        SELECT side, doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM (SELECT 's' AS side, doc_id, text FROM documents
+              UNION ALL SELECT 't', item_id, text FROM benchmark)
+    ), features AS (
+        SELECT side, doc_id, unnest(list_concat(words, list_transform(
+                   range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1]))) AS feature
+        FROM worded
+    ), codes AS (
+        SELECT feature, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(
+                   range(0, octet_length(encode(feature))),
+                   lambda k: ('0x' || substr(hex(encode(feature)), 2 * k + 1, 2))::BIGINT)),
+                   lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+        FROM (SELECT DISTINCT feature FROM features), table_step
+    ), placed AS (
+        SELECT side, doc_id, bucket FROM features JOIN codes USING (feature)
+    ), totals AS (
+        SELECT count(*) FILTER (WHERE side = 's') AS all_s, count(*) FILTER (WHERE side = 't') AS all_t FROM placed
+    ), gains AS (
+        SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (all_s + 10000)) / ((s + 1)::DOUBLE * (all_t + 10000)))) AS gain
+        FROM (SELECT bucket, count(*) FILTER (WHERE side = 's') AS s, count(*) FILTER (WHERE side = 't') AS t
+              FROM placed GROUP BY bucket), totals
+    ), weights AS (
+        SELECT doc_id, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+        FROM placed JOIN gains USING (bucket) WHERE side = 's' GROUP BY doc_id
+    ), scored AS (
+        SELECT doc_id, len(words) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+               coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5)
+                   / 4294967296::DOUBLE)))::BIGINT AS score
+        FROM worded LEFT JOIN weights USING (doc_id) WHERE side = 's'
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place,
+               count(*) OVER (PARTITION BY able) AS n
+        FROM scored
+    )
+    SELECT doc_id, n_features, weight, score,
+           CASE WHEN able AND place <= 25 * n // 100 THEN place END AS rank
+    FROM ranked
+    """,
+)
+def op13(spark, folder):
+    return resampling.resample(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), percent=25, min_words=20
+    )
