@@ -7,6 +7,7 @@ from tillworks.llm import (
     html_text,
     language,
     lines,
+    mergepieces,
     merkle,
     packing,
     quality,
@@ -295,3 +296,16 @@ def op13(spark, folder):
     return resampling.resample(
         _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), percent=25, min_words=20
     )
+
+
+@query("op11_sentencepiece_round_trip")
+def op11(spark, folder):
+    model = tokenizer("piece_bpe_32k.model")
+    coded = mergepieces.encode(_table(spark, folder, "documents"), model).select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+    )
+    decoded = mergepieces.decode(coded, model, carry=["n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "carried.*", F.sha2("text", 256).alias("decoded_sha256"))
