@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__
 import corpus_pipeline
 from oracle import compare, database
-from tillworks.llm import decontamination, packing, queries, simhash
+from test_near_copies import groups_by_hand
+from tillworks.llm import decontamination, packing, queries
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -17,7 +18,7 @@ def test_query_against_sql(spark, sf_dir, key):
 
 def test_all_are_registered():
     names = {k.split("_")[0] for k in __spark_entry__.queries() if k.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     assert len(corpus_pipeline.STAGES) == 5
 
@@ -41,9 +42,10 @@ def test_stages(spark, sf_dir, stages):
     raw, spoken, cut, single, clean, packed = ids
     assert spoken == raw  # every document of this table is in one of its languages
     assert cut <= spoken and single <= cut and clean <= single and packed == clean
-    groups = simhash.near_groups(stages[2]).collect()
-    assert single == {r.component_id for r in groups}
-    found = decontamination.find_passages(stages[3], spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    texts = {r.doc_id: r.text for r in stages[2].collect()}
+    assert single == set(groups_by_hand(texts).values())
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.find_passages(stages[3], items, window=corpus_pipeline.ITEM_WINDOW)
     leaked = {r.doc_id for r in found.collect()}
     assert leaked and clean == single - leaked
     assert stages[2].where("n_chars <> length(text)").count() == 0
