@@ -5,6 +5,7 @@ from registry.core import ORACLES, QUERIES
 from registry import (  # noqa: F401  (importing a module registers its queries)
     aggregates,
     filters,
+    history,
     jobs,
     joins,
     ladders,
