@@ -11,7 +11,7 @@ from tillworks.session import shared_folder
 from tillworks.sinks import tables as sinks
 from tillworks.sources import readers
 from tillworks.streaming import events as ev
-from tillworks.streaming import metrics, topics
+from tillworks.streaming import metrics, offsets, topics
 
 
 #: Names what one run of the registry stores; each run uses the same databases again.
@@ -199,16 +199,77 @@ def bounded_read(t):
     "SELECT order_id, event_type FROM order_feed WHERE event_type = 'order_returned'",
 )
 def read_from_latest(t):
-    # What was there before the moment is not read, what comes after it is.
+    # What was there before the offset is not read, what comes after it is.
     events = feeds.order_events(t)
     returned = F.col("event_type") == "order_returned"
-    folder = _topic(t, events.where(~returned))
-    latest = topics.latest(t.spark, folder)
-    sinks.write_records(sinks.keyed_records(events.where(returned), "order_id"), folder)
-    records = topics.file_batch(t.spark, folder, "order_id", after=latest)
+    folder = _folder(t, "topic")
+    offsets.append(sinks.keyed_records(events.where(~returned), "order_id"), folder)
+    latest = offsets.latest(folder)
+    offsets.append(sinks.keyed_records(events.where(returned), "order_id"), folder)
+    records = offsets.read(t.spark, folder, latest)
     return ev.readable(ev.decode(records, ev.ORDER_EVENT)).select("order_id", "event_type")
 
 
+#: Records of one poll. Batches of 100 are tested; over whole tables they would be very many.
+POLL = 8000
+
+
+def _polled(t, folder, handle):
+    """Read a topic to its end in polls, and return the checkpoint."""
+    marks = _folder(t, "marks")
+    records = offsets.stream(t.spark, folder, limit=POLL)
+    writer = records.writeStream.foreachBatch(handle).option("checkpointLocation", marks)
+    running = writer.trigger(processingTime="0 seconds").start()
+    running.processAllAvailable()
+    running.stop()
+    return marks
+
+
+@query(
+    "s09_polls_of_bounded_size",
+    f"""SELECT CAST(poll AS BIGINT) AS batch_id, CAST(least({POLL}, n - poll * {POLL}) AS BIGINT) AS records,
+               CAST(poll * {POLL} AS BIGINT) AS first_offset
+        FROM (SELECT n, unnest(range(0, (n + {POLL} - 1) // {POLL})) AS poll
+              FROM (SELECT count(*) AS n FROM order_feed))""",
+)
+def polls_of_bounded_size(t):
+    folder, output = _folder(t, "topic"), _folder(t, "polls")
+    offsets.append(sinks.keyed_records(feeds.order_events(t), "order_id"), folder)
+    _polled(t, folder, lambda batch, number: batch.write.mode("overwrite").parquet(f"{output}/batch_id={number}"))
+    polls = t.spark.read.parquet(output).groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
+    return polls.agg(F.count(F.lit(1)).alias("records"), F.min("offset").alias("first_offset"))
+
+
+@query(
+    "t22_offsets_of_a_query",
+    f"""SELECT CAST(poll AS BIGINT) AS batch_id, true AS committed, CAST(least((poll + 1) * {POLL}, n) AS BIGINT) AS "offset"
+        FROM (SELECT n, unnest(range(0, (n + {POLL} - 1) // {POLL})) AS poll
+              FROM (SELECT count(*) AS n FROM user_feed))""",
+)
+def offsets_of_a_query(t):
+    folder = _folder(t, "topic")
+    offsets.append(sinks.keyed_records(feeds.user_events(t), "user_id"), folder)
+    marks = _polled(t, folder, lambda batch, number: batch.write.format("noop").mode("overwrite").save())
+    return offsets.progress(t.spark, marks)
+
+
+@query(
+    "t23_lag_of_a_query",
+    """SELECT count(*) FILTER (event_type <> 'order_returned') AS committed_offset, count(*) AS latest_offset,
+              count(*) FILTER (event_type = 'order_returned') AS lag
+       FROM order_feed""",
+)
+def lag_of_a_query(t):
+    # The query has stopped before the returned orders come.
+    events = feeds.order_events(t)
+    returned = F.col("event_type") == "order_returned"
+    folder = _folder(t, "topic")
+    offsets.append(sinks.keyed_records(events.where(~returned), "order_id"), folder)
+    marks = _polled(t, folder, lambda batch, number: batch.write.format("noop").mode("overwrite").save())
+    offsets.append(sinks.keyed_records(events.where(returned), "order_id"), folder)
+    return offsets.group_lag(t.spark, folder, marks)
+
+
 @query(
     "s06_topic_stream",
     """SELECT coalesce(event_type, 'unknown') AS event_type, count(*) AS events

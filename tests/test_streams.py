@@ -166,17 +166,6 @@ def test_bounded_reads(spark, topic):
     assert metrics.flow_report(events.limit(0)).first().flowing is False
 
 
-def test_reading_from_the_latest(spark, topic, tmp_path):
-    _, third, _ = topic
-    folder = str(tmp_path / "topic")
-    sinks.write_records(third.limit(5), folder)
-    moment = topics.latest(spark, folder)
-    assert topics.file_batch(spark, folder, "order_id", after=moment).count() == 0
-    sinks.write_records(third.limit(3), folder)
-    assert topics.file_batch(spark, folder, "order_id", after=moment).count() == 3
-    assert topics.file_batch(spark, folder, "order_id").count() == 8
-
-
 def test_lag():
     assert topics.lag('{"t":{"0":5,"1":7}}', '{"t":{"0":9,"1":7,"2":4}}') == 8
     assert topics.lag('{"logOffset":2}', '{"logOffset":2}') == 0
