@@ -66,3 +66,9 @@ def partition_sizes(t):
     return sizes.agg(
         F.sum("records").alias("records"), F.count_if(F.col("records") > half).alias("over_half")
     )
+
+
+@query("k11b_partition_report")
+def partition_report(t):
+    # The report itself: which partition holds how many records depends on Spark's hash.
+    return sinks.partition_sizes(sinks.keyed_partitions(t.order_details, "order_id", 8))

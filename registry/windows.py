@@ -1,6 +1,6 @@
 """Window functions, spread over the cluster, against plain windows in SQL."""
 
-from registry.core import AS_OF, dbl, query
+from registry.core import AS_OF, dbl, query, stored
 from tillworks.operators import joins, windows
 from tillworks.plans import jobs
 
@@ -108,7 +108,7 @@ REVENUE = """
 def global_row_number(t):
     metrics = jobs.customer_metrics(t.orders, t.order_details, t.customers, AS_OF)
     return windows.global_rank(
-        metrics.select("customer_id", "total_revenue"),
+        stored(metrics.select("customer_id", "total_revenue"), "w07"),
         windows.descending("total_revenue"),
         ["customer_id"],
         rank="revenue_rank",
@@ -126,7 +126,7 @@ def global_row_number(t):
 )
 def global_quartile(t):
     metrics = jobs.customer_metrics(t.orders, t.order_details, t.customers, AS_OF)
-    return jobs.ranked_customers(metrics.select("customer_id", "total_revenue"))
+    return jobs.ranked_customers(stored(metrics.select("customer_id", "total_revenue"), "w08"))
 
 
 @query(
@@ -144,4 +144,4 @@ def global_quartile(t):
         FROM enriched""",
 )
 def all_transaction_windows(t):
-    return windows.apply_window_functions(_dated(t))
+    return windows.apply_window_functions(stored(_dated(t), "w09"), keep=lambda rows: stored(rows, "w09"))

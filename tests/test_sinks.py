@@ -103,3 +103,15 @@ def test_shared_folder_is_the_configured_one_or_in_the_warehouse(spark):
     plain = spark.newSession()
     plain.conf.set("spark.checkpoint.dir", "") if plain.conf.isModifiable("spark.checkpoint.dir") else None
     assert not session.shared_folder(plain).startswith("/tmp/tillworks")
+
+
+def test_the_partition_report(spark):
+    from tillworks.sinks import tables as sinks
+
+    lines = spark.range(10_000).selectExpr("id % 700 AS order_id")
+    placed = sinks.keyed_partitions(lines, "order_id", 8)
+    report = {r.partition_id: r.records for r in sinks.partition_sizes(placed).collect()}
+    by_hand = [len(part) for part in placed.rdd.glom().collect()]
+    assert report == {k: n for k, n in enumerate(by_hand) if n}
+    assert sum(report.values()) == 10_000 and max(report.values()) < 5_000
+    assert sinks.partition_sizes(placed.limit(0)).count() == 0

@@ -10,7 +10,7 @@ part carries what the parts before it (or, for peers, after it) add. That carry
 rows as there are parts, never more, which is what makes it safe to broadcast.
 """
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -399,8 +399,16 @@ def rank_in_month(
     )
 
 
-def apply_window_functions(enriched: DataFrame, partitions: int | None = None) -> DataFrame:
-    """All six transaction windows; the bounds of every pass are drawn from the input."""
-    rows = user_sequence(enriched, partitions)
-    rows = rank_in_category(rows, partitions, sampled=enriched)
+def apply_window_functions(
+    enriched: DataFrame,
+    partitions: int | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """All six transaction windows; the bounds of every pass are drawn from the input.
+
+    A pass reads its rows three times. ``keep`` stores what the passes before have given (and
+    returns it as read again), so that none is computed twice.
+    """
+    rows = keep(user_sequence(enriched, partitions))
+    rows = keep(rank_in_category(rows, partitions, sampled=enriched))
     return rank_in_month(rows, partitions, sampled=enriched)

@@ -36,6 +36,13 @@ def build_session(
 
 def shared_folder(spark: SparkSession) -> str:
     """A folder that all executors share: that of ``spark.checkpoint.dir``, or one in the
-    warehouse where it is unset."""
+    warehouse where it is unset. On a cluster a warehouse without a scheme, or on ``file:``, is a
+    folder of one machine, and is refused."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    scheme = warehouse.split(":", 1)[0] if ":/" in warehouse else "file"
+    if scheme == "file" and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse}/_work"

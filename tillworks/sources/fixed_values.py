@@ -52,12 +52,3 @@ CONTACT_TITLES = {
 
 BROWSERS = ("Chrome", "Firefox", "Safari", "Edge")
 DEVICES = ("desktop", "mobile", "tablet")
-SEARCH_QUERIES = ("laptop", "mouse", "keyboard", "monitor", "headphones")
-PAYMENT_METHODS = ("Credit Card", "Bank Transfer", "PayPal", "Invoice")
-CANCELLATION_REASONS = (
-    "Customer request",
-    "Out of stock",
-    "Payment failed",
-    "Shipping address invalid",
-    "Duplicate order",
-)
