@@ -16,7 +16,10 @@ _INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
 _SIEVE = 1 << 22
 _SLOTS = 20
 _NOTHING = np.uint32(0xFFFFFFFF)
+#: Candidates that are aligned together, cells of their matrices, and shared places per block.
 _ALIGNED = 4096
+_CELLS = 1 << 20
+_BLOCK = 1 << 21
 _MATCHES = "doc_id bigint, item_id bigint, start bigint, end bigint, edits int, passage string"
 
 
@@ -159,30 +162,6 @@ def build_index(ids, texts, q: int, rate: float, min_chars: int, window: int | N
     )
 
 
-def best_alignment(item: np.ndarray, text: np.ndarray, edits: int):
-    """The fewest edits that turn the item into a stretch of the text, and that stretch, or None
-    if it takes more than ``edits``."""
-
-    def last_row(pattern, stretch, anchored):
-        steps = np.arange(len(stretch) + 1)
-        row = steps.copy() if anchored else np.zeros(len(stretch) + 1, dtype=np.int64)
-        for i, c in enumerate(pattern, 1):
-            new = np.empty_like(row)
-            new[0] = i
-            np.minimum(row[:-1] + (stretch != c), row[1:] + 1, out=new[1:])
-            row = np.minimum.accumulate(new - steps) + steps
-            if row.min() > edits:
-                return None
-        return row
-
-    row = last_row(item, text, False)
-    if row is None or row.min() > edits:
-        return None
-    end = int(row.argmin())
-    back = last_row(item[::-1], text[:end][::-1], True)
-    return int(row[end]), end - int(back.argmin()), end
-
-
 def _hits(codes, owner, index):
     """Places of q-grams that items have too, and which they are."""
     hashes = grams(codes, index.q)
@@ -196,109 +175,219 @@ def _hits(codes, owner, index):
     return at[hit], place[hit]
 
 
+def _blocks(sizes):
+    """Stretches of a list of sizes that add up to about ``_BLOCK`` each, one size at least."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + _BLOCK, side="right")))
+        yield slice(start, stop)
+        start = stop
+
+
 def _candidates(codes, owner, at, place, patterns):
     """Diagonal bands with as many shared q-grams as an occurrence must have.
 
     A band of a pattern with k edits spans 2(k + 1) diagonals and overlaps the next by half, so the
-    k + 1 diagonals of an occurrence lie in one.
+    k + 1 diagonals of an occurrence lie in one. A q-gram that occurs often in a text and in the
+    patterns makes very many shared places, so places are counted in blocks: first all of them in
+    slots, then those of bands whose slot has enough.
     """
-    counts = patterns.starts[place + 1] - patterns.starts[place]
-    posting = np.repeat(patterns.starts[place], counts) + ranges(counts)
-    item, at = patterns.items[posting], np.repeat(at, counts)
-    diagonal = at - patterns.offsets[posting] + int(len(codes) + 1)  # positive
-    band = diagonal // (patterns.edits[item] + 1)
     rows = int(owner[-1]) + 1 if len(owner) else 1
     width = 2 * len(codes) + 4
-    key = (item * width + band) * rows + owner[at]
-    key, least = np.concatenate((key, key - rows)), np.tile(patterns.shared[item], 2)
+    counts = patterns.starts[place + 1] - patterns.starts[place]
+
+    def keys(block):
+        """Both bands of each shared place, their slots, and the q-grams that they must share."""
+        n = counts[block]
+        posting = np.repeat(patterns.starts[place[block]], n) + ranges(n)
+        item, where = patterns.items[posting], np.repeat(at[block], n)
+        diagonal = where - patterns.offsets[posting] + int(len(codes) + 1)  # positive
+        band = diagonal // (patterns.edits[item] + 1)
+        key = (item * width + band) * rows + owner[where]
+        key = np.concatenate((key, key - rows))
+        slot = ((key.astype(np.uint64) * _FACTOR) >> np.uint64(64 - _SLOTS)).astype(np.int64)
+        return key, slot, np.tile(patterns.shared[item], 2)
+
     # Bands that share a slot are counted as one, so none with enough is left out here.
-    slot = ((key.astype(np.uint64) * _FACTOR) >> np.uint64(64 - _SLOTS)).astype(np.int64)
-    key = key[np.bincount(slot, minlength=1 << _SLOTS)[slot] >= least]
-    key, shared = np.unique(key, return_counts=True)
-    item = key // rows // width
+    slots, blocks = np.zeros(1 << _SLOTS, dtype=np.int64), list(_blocks(counts))
+    first = None
+    for block in blocks:
+        first = keys(block)
+        slots += np.bincount(first[1], minlength=1 << _SLOTS)
+    found, shared = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    for block in blocks:
+        key, slot, least = first if len(blocks) == 1 else keys(block)
+        some, times = np.unique(key[slots[slot] >= least], return_counts=True)
+        found, of = np.unique(np.concatenate((found, some)), return_inverse=True)
+        shared = np.bincount(of, weights=np.concatenate((shared, times)), minlength=len(found)).astype(np.int64)
+    item = found // rows // width
     enough = shared >= patterns.shared[item]
-    key, item = key[enough], item[enough]
+    key, item = found[enough], item[enough]
     band, row = key // rows % width, key % rows
     first = band * (patterns.edits[item] + 1) - int(len(codes) + 1)
     return item, row, first
 
 
-def _last_rows(patterns, stretches, anchored):
-    """The last row of the edit matrix of each pattern and its stretch."""
-    steps = np.arange(stretches.shape[1] + 1, dtype=np.int16)
+def _band_fits(codes, starts, item, row, first, patterns):
+    """Which candidates align within their edits, on the diagonals of their band alone.
+
+    All candidates of a chunk go through their patterns together, one character at a time; one
+    whose cells all exceed its edits is dropped on the way. Chunks hold patterns of about one
+    length. A band may come out wider than its own, as wide as the widest of its chunk.
+    """
+    sizes = np.array([len(t) for t in patterns.texts], dtype=np.int64)
+    fits = np.zeros(len(item), dtype=bool)
+    order = np.argsort(sizes[item], kind="stable")
+    for c in range(0, len(order), _ALIGNED):
+        left = order[c : c + _ALIGNED]
+        size, edits = sizes[item[left]], patterns.edits[item[left]]
+        used, which = np.unique(item[left], return_inverse=True)
+        padded = np.full((len(used), int(size.max())), _NOTHING, dtype=np.uint32)
+        for k, i in enumerate(used):
+            padded[k, : sizes[i]] = patterns.texts[i]
+        diagonals = np.arange(2 * (int(edits.max()) + 1))
+        at = first[left][:, None] + diagonals[None, :]
+        low, high = starts[row[left]][:, None], starts[row[left] + 1][:, None]
+        steps = diagonals.astype(np.int16)
+        cost = np.zeros(at.shape, dtype=np.int16)
+        for i in range(padded.shape[1]):
+            text = np.where((at >= low) & (at < high), codes[np.clip(at, 0, len(codes) - 1)], _NOTHING - np.uint32(1))
+            new = cost + (text != padded[which, i][:, None])
+            np.minimum(new[:, :-1], cost[:, 1:] + 1, out=new[:, :-1])  # a character of the pattern is missing
+            cost = np.minimum.accumulate(new - steps, axis=1) + steps  # or the text has one more
+            at += 1
+            ended = size == i + 1
+            best = cost.min(axis=1) if i % 8 == 7 or ended.any() else None
+            if best is not None:
+                fits[left[ended & (best <= edits)]] = True
+                on = ~ended & (best <= edits)
+                if not on.all():
+                    left, which, size, edits, cost, at = (x[on] for x in (left, which, size, edits, cost, at))
+                    low, high = low[on], high[on]
+                    if not len(left):
+                        break
+    return fits
+
+
+def _padded(texts):
+    """Runs of code points as the rows of one array, and their sizes."""
+    sizes = np.array([len(t) for t in texts], dtype=np.int64)
+    rows = np.full((len(texts), int(sizes.max(initial=0))), _NOTHING, dtype=np.uint32)
+    for k, text in enumerate(texts):
+        rows[k, : len(text)] = text
+    return rows, sizes
+
+
+def _aligned(codes, starts, candidates, patterns):
+    """Candidates that align within their edits, as an array of text, pattern, first place, place
+    behind and edits: of the stretches near the band the one with the fewest edits."""
+    item, row, first = candidates
+    fits = _band_fits(codes, starts, item, row, first, patterns)
+    item, row, first = item[fits], row[fits], first[fits]
+    sizes = np.array([len(t) for t in patterns.texts], dtype=np.int64)
+    order, out = np.argsort(sizes[item], kind="stable"), []
+    widest = int((sizes + 4 * patterns.edits).max(initial=0)) + 2
+    for c in range(0, len(order), max(1, _CELLS // widest)):
+        of = order[c : c + max(1, _CELLS // widest)]
+        pattern, size = _padded([patterns.texts[i] for i in item[of]])
+        edits, low, high = patterns.edits[item[of]], starts[row[of]], starts[row[of] + 1]
+
+        def stretch(at, inside, low=low, high=high):
+            inside = inside & (at >= low[:, None]) & (at < high[:, None])
+            return np.where(inside, codes[np.clip(at, 0, len(codes) - 1)], _NOTHING - np.uint32(1))
+
+        columns = np.arange(int((size + 4 * edits).max()) + 2)[None, :]
+        begin = first[of] - edits
+        last = _last_rows(pattern, size, stretch(begin[:, None] + columns, columns < (size + 4 * edits + 2)[:, None]), False)
+        ends, least = begin + last.argmin(axis=1), last.min(axis=1)
+        near = np.flatnonzero(least <= edits)
+        if not len(near):
+            continue
+        low, high, ends, size, edits = low[near], high[near], ends[near], size[near], edits[near]
+        backwards, _ = _padded([patterns.texts[i][::-1] for i in item[of[near]]])
+        columns = np.arange(int((size + edits).max()))[None, :]
+        text = stretch(ends[:, None] - 1 - columns, columns < (size + edits)[:, None], low, high)
+        back = _last_rows(backwards, size, text, True)
+        start = np.maximum(ends - back.argmin(axis=1), low)
+        out.append(np.stack((row[of[near]], item[of[near]], start, np.minimum(ends, high), least[near]), axis=1))
+    return np.unique(np.concatenate([np.zeros((0, 5), dtype=np.int64), *out]), axis=0)
+
+
+class Spans:
+    """Stretches of texts, for asking whether one of them holds others."""
+
+    def __init__(self, found):
+        # Sorted by text, item and first place; per text and item the farthest end so far.
+        found = found[np.lexsort((found[:, 2], found[:, 1], found[:, 0]))]
+        edge = np.ones(len(found), dtype=bool)
+        edge[1:] = (found[1:, :2] != found[:-1, :2]).any(axis=1)
+        self._from = np.append(np.flatnonzero(edge), len(found))
+        self._names = {(r, i): k for k, (r, i) in enumerate(found[edge, :2].tolist())}
+        self._starts, self._ends = found[:, 2].copy(), found[:, 3].copy()
+        for low, high in zip(self._from[:-1], self._from[1:]):
+            np.maximum.accumulate(self._ends[low:high], out=self._ends[low:high])
+
+    def hold(self, row, item, start, end, beyond):
+        """Whether one, made longer by ``beyond`` at both ends, holds each stretch."""
+        held = np.zeros(len(row), dtype=bool)
+        if not self._names or not len(row):
+            return held
+        pairs, which = np.unique(np.stack((row, item), axis=1), axis=0, return_inverse=True)
+        for k, pair in enumerate(pairs.tolist()):
+            name = self._names.get(tuple(pair))
+            if name is not None:
+                of = np.flatnonzero(which.reshape(-1) == k)
+                low, high = self._from[name], self._from[name + 1]
+                at = low + np.searchsorted(self._starts[low:high], start[of] + beyond, side="right") - 1
+                held[of] = (at >= low) & (end[of] - beyond <= self._ends[np.maximum(at, low)])
+        return held
+
+
+def _last_rows(patterns, sizes, stretches, anchored):
+    """The last row of the edit matrix of each pattern, as long as its size, and its stretch."""
+    steps = np.arange(stretches.shape[1] + 1, dtype=np.int32)
     row = np.tile(steps if anchored else np.zeros_like(steps), (len(patterns), 1))
+    last = row.copy()
     for i in range(patterns.shape[1]):
         new = np.empty_like(row)
         new[:, 0] = i + 1
         np.minimum(row[:, :-1] + (stretches != patterns[:, i : i + 1]), row[:, 1:] + 1, out=new[:, 1:])
         row = np.minimum.accumulate(new - steps, axis=1) + steps
-    return row
-
-
-def _aligned_windows(codes, starts, window, row, first, patterns):
-    """Windows that align within their edits: the candidate's place, and the stretch's."""
-    edits, length = int(patterns.edits[0]), len(patterns.texts[0])
-    texts = np.stack(patterns.texts)
-    for c in range(0, len(window), _ALIGNED):
-        of = slice(c, c + _ALIGNED)
-        low, high = starts[row[of]], starts[row[of] + 1]
-
-        def stretch(at, low=low, high=high):
-            inside = (at >= low[:, None]) & (at < high[:, None])
-            return np.where(inside, codes[np.clip(at, 0, len(codes) - 1)], _NOTHING)
-
-        begin = first[of] - edits
-        pattern = texts[window[of]]
-        last = _last_rows(pattern, stretch(begin[:, None] + np.arange(length + 4 * edits + 2)), False)
-        end = begin + last.argmin(axis=1)
-        near = np.flatnonzero(last.min(axis=1) <= edits)
-        if not len(near):
-            continue
-        low, high, end = low[near], high[near], end[near]
-        back = end[:, None] - 1 - np.arange(length + edits)
-        back = _last_rows(pattern[near][:, ::-1], stretch(back, low, high), True)
-        start = np.maximum(end - back.argmin(axis=1), low)
-        yield from zip(c + near, start.tolist(), np.minimum(end, high).tolist())
+        ended = sizes == i + 1
+        if ended.any():
+            last[ended] = row[ended]
+    return last
 
 
 def _distance(a, b):
-    return int(_last_rows(a[None, :], b[None, :], True)[0, -1])
+    return int(_last_rows(a[None, :], np.array([len(a)]), b[None, :], True)[0, -1])
 
 
 def _partial(codes, starts, candidates, index, whole):
     """Passages that are part of an item: neighbouring windows in one, outside whole items."""
-    windows, step = index.windows, max(index.window // 3, 1)
+    windows, step, size = index.windows, max(index.window // 3, 1), index.window
     window, row, first = candidates
-    item = windows.owners[window]
-    inside = np.array(
-        [
-            any(a - step <= f and f + index.window <= b + step for a, b in whole.get((r, i), ()))
-            for r, i, f in zip(row.tolist(), item.tolist(), first.tolist())
-        ],
-        dtype=bool,
-    )
-    window, row, first, item = (x[~inside] for x in (window, row, first, item))
-    hits = {
-        (int(row[n]), int(item[n]), start, end, int(windows.places[window[n]]))
-        for n, start, end in _aligned_windows(codes, starts, window, row, first, windows)
-    }
-    runs = []
-    for r, i, start, end, place in sorted(hits):
-        slack = 2 * int(windows.edits[0])
-        for run in reversed(runs):
-            if run[:2] != [r, i]:
-                run = None
-                break
-            near = start <= run[3] + step and abs((place - run[6]) - (start - run[7])) <= slack
-            if near and place >= run[6]:
-                break
-        else:
-            run = None
-        if run:
-            run[3], run[5] = max(run[3], end), max(run[5], place + index.window)
-            run[6], run[7] = place, start
-        else:
-            runs.append([r, i, start, end, place, place + index.window, place, start])
+    item, edits = windows.owners[window], int(windows.edits[0])
+    outside = ~whole.hold(row, item, first, first + size, step)
+    row, window, start, end, _ = _aligned(codes, starts, (window[outside], row[outside], first[outside]), windows).T
+    hits = np.unique(np.stack((row, windows.owners[window], start, end, windows.places[window]), axis=1), axis=0)
+    runs, open_runs, of = [], [], None
+    for c in range(0, len(hits), 1 << 16):
+        for r, i, start, end, place in hits[c : c + (1 << 16)].tolist():
+            # Hits come in the order of their starts: what ended long before is complete.
+            open_runs = [run for run in open_runs if start <= run[3] + step] if of == (r, i) else []
+            of, slack = (r, i), 2 * edits
+            for run in reversed(open_runs):
+                apart = abs((place - run[6]) - (start - run[7]))
+                drift = abs((place - run[4]) - (start - run[2]))
+                if apart <= slack and drift <= slack + edits * (place - run[4]) // step and place >= run[6]:
+                    run[3], run[5] = max(run[3], end), max(run[5], place + size)
+                    run[6], run[7] = place, start
+                    break
+            else:
+                runs.append([r, i, start, end, place, place + size, place, start])
+                open_runs.append(runs[-1])
     for r, i, start, end, a, b, _, _ in runs:
         text = index.texts[i]
         while a and start > starts[r] and text[a - 1] == codes[start - 1]:
@@ -336,32 +425,27 @@ def _search(batches, index):
             if not len(codes):
                 continue
             starts = np.searchsorted(owner, np.arange(len(texts) + 1))
-            found, whole = set(), {}
+            found = [np.zeros((0, 5), dtype=np.int64)]  # text, item, first place, place behind, edits
             if len(codes) >= index.q and len(index.keys):
                 at, key = _hits(codes, owner, index)
-                for item, row, first in zip(*_candidates(codes, owner, at, key, index.whole)):
-                    pattern, edits = index.texts[item], int(index.whole.edits[item])
-                    low = max(int(starts[row]), int(first) - edits)
-                    high = min(int(starts[row + 1]), int(first) + 3 * edits + 2 + len(pattern))
-                    aligned = best_alignment(pattern, codes[low:high], edits)
-                    if aligned:
-                        cost, start, end = aligned
-                        found.add((int(row), int(index.ids[item]), low + start, low + end, cost))
-                        whole.setdefault((int(row), int(item)), []).append((low + start, low + end))
+                items = _aligned(codes, starts, _candidates(codes, owner, at, key, index.whole), index.whole)
+                found.append(items)
                 if index.windows:
+                    whole = Spans(items)
                     parts = _candidates(codes, owner, at, key, index.windows)
-                    for row, item, start, end, cost in _partial(codes, starts, parts, index, whole):
-                        over = index.window  # windows at the edges of a whole item reach beyond it
-                        if not any(
-                            a - over <= start and end <= b + over for a, b in whole.get((row, item), ())
-                        ):
-                            found.add((row, int(index.ids[item]), start, end, cost))
+                    parts = np.array(list(_partial(codes, starts, parts, index, whole)), dtype=np.int64).reshape(-1, 5)
+                    # Windows at the edges of a whole item reach beyond it.
+                    found.append(parts[~whole.hold(*parts.T[:4], index.window)])
+            found = np.concatenate(found)
+            found[:, 1] = index.ids[found[:, 1]]
             if index.short_hashes:
-                found.update(_short(codes, owner, index))
-            if found:
-                ids = part.column(0)
+                short = np.array(list(_short(codes, owner, index)), dtype=np.int64).reshape(-1, 5)
+                found = np.concatenate((found, short))
+            found = np.unique(found, axis=0)
+            ids = part.column(0)
+            for low in range(0, len(found), 1 << 14):
                 lines = []
-                for row, item, start, end, cost in sorted(found):
+                for row, item, start, end, cost in found[low : low + (1 << 14)].tolist():
                     start, end = int(place[start]), int(place[end - 1]) + 1
                     lines.append((ids[row].as_py(), item, start, end, cost, texts[row][start:end]))
                 yield pa.RecordBatch.from_arrays(
@@ -397,9 +481,11 @@ def find_passages(
     So every verbatim stretch of an item of ``4 * window / 3`` characters or more is found. Items
     with fewer than ``min_chars`` characters must occur unedited and not within longer words.
 
-    Null and empty texts match nothing; items that are null or have a null id are left out. Items with equal texts are all reported; repeated rows
-    are each searched, and a null document id stays. With an empty table the result is empty;
-    other columns are ignored.
+    Null and empty texts match nothing; items that are null or have a null id are left out. Items
+    with equal texts are all reported; repeated rows are each searched, and a null document id
+    stays. A text that repeats a stretch of an item over and over gives a passage for each place;
+    memory follows its length, time the number of such places. With an empty table the result is
+    empty; other columns are ignored.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")
