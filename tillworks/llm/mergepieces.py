@@ -73,9 +73,8 @@ class Encoder:
     a failed place is never tried again.
 
     Nothing merges across two characters that stand side by side in no piece: behind a letter and
-    before a comma, say, or around a character that is in no piece at all. So the text is cut into
-    stretches (before spaces, and around line feeds) where the model's pieces allow it, these
-    again at all such places, and what is between is encoded once and remembered.
+    before a comma, say, or around a character that is in no piece at all. So the text is cut at
+    such places, and what is between is encoded once and remembered.
     """
 
     def __init__(self, pieces: Pieces):
@@ -98,12 +97,20 @@ class Encoder:
         self._ids = [self._ids_of(t) for t in self._tokens]
         self._pairs, self._known = {}, {}
         self._beside = {t[k : k + 2] for t in self._tokens for k in range(len(t) - 1)}
-        cut_early = not any(b != _MARK * 2 and (b[1] == _MARK or "\n" in b) for b in self._beside)
-        self._stretches = re.compile(f"{_MARK}*[^{_MARK}\n]+|\n|{_MARK}+").findall if cut_early else lambda text: [text]
+        self._cut = self._cuts(known)
+
+    def _cuts(self, known: set[str]):
+        """A function that cuts a text where no piece goes on: at once where spaces stand only in
+        front of pieces, line feeds alone, and no piece has letters beside other characters."""
+        early = not any(b != _MARK * 2 and (b[1] == _MARK or "\n" in b) for b in self._beside)
         letter = re.compile(r"[^\W\d_]").match
-        mixed = any(bool(letter(a)) != bool(letter(b)) and a != _MARK for a, b in self._beside)
-        letters_apart = re.compile(rf"{_MARK}*[^\W\d_]+|[\W\d_]+").findall
-        self._parts = letters_apart if cut_early and not mixed else self._apart
+        odd = "".join(sorted(c for c in known if letter(c) and not c.isalpha()))  # numerals, say
+        mixed = any(a.isalpha() != b.isalpha() and a != _MARK for a, b in self._beside)
+        if not early or mixed:
+            return lambda text: [text]
+        odd = re.escape(odd)
+        other = rf"(?:[^\w{_MARK}\n]|[\d_{odd}])"
+        return re.compile(rf"{_MARK}*(?:[^\W\d_{odd}]+|{other}+)|\n|{_MARK}+").findall
 
     def _ids_of(self, token: str) -> bytes:
         if token in self._pieces.number:
@@ -184,12 +191,11 @@ class Encoder:
         return [text[a:b] for a, b in zip([0] + cuts, cuts + [len(text)])]
 
     def _encode_parts(self, parts: list[str]) -> bytes:
-        known, out = self._known, []
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self._remember(part, self._encode_part(part))
-            out.append(ids)
+        out = list(map(self._known.get, parts))
+        if None in out:
+            for k in [k for k, ids in enumerate(out) if ids is None]:
+                # An earlier one of these may have been the same part.
+                out[k] = self._known.get(parts[k]) or self._remember(parts[k], self._encode_part(parts[k]))
         return b"".join(out)
 
     def _remember(self, text: str, ids: bytes) -> bytes:
@@ -206,13 +212,7 @@ class Encoder:
         text = text.replace(" ", _MARK)
         if self._pieces.prefixed:
             text = _MARK + text
-        known, out = self._known, []
-        for stretch in self._stretches(text):
-            ids = known.get(stretch)
-            if ids is None:
-                ids = self._remember(stretch, self._encode_parts(self._parts(stretch)))
-            out.append(ids)
-        return b"".join(out)
+        return self._encode_parts(self._cut(text))
 
 
 class Decoder:
