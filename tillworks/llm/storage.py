@@ -2,15 +2,15 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillworks.session import shared_folder
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset, one beside the warehouse."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which on
+    a cluster must not be a folder of one machine."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(spark))
     return context.getCheckpointDir()
 
 
