@@ -20,6 +20,7 @@ _NOTHING = np.uint32(0xFFFFFFFF)
 _ALIGNED = 4096
 _CELLS = 1 << 20
 _BLOCK = 1 << 21
+_BEYOND = np.int16(1 << 14)
 _MATCHES = "doc_id bigint, item_id bigint, start bigint, end bigint, edits int, passage string"
 
 
@@ -234,7 +235,7 @@ def _band_fits(codes, starts, item, row, first, patterns):
 
     All candidates of a chunk go through their patterns together, one character at a time; one
     whose cells all exceed its edits is dropped on the way. Chunks hold patterns of about one
-    length. A band may come out wider than its own, as wide as the widest of its chunk.
+    length; cells beyond a candidate's own band do not count.
     """
     sizes = np.array([len(t) for t in patterns.texts], dtype=np.int64)
     fits = np.zeros(len(item), dtype=bool)
@@ -250,12 +251,14 @@ def _band_fits(codes, starts, item, row, first, patterns):
         at = first[left][:, None] + diagonals[None, :]
         low, high = starts[row[left]][:, None], starts[row[left] + 1][:, None]
         steps = diagonals.astype(np.int16)
-        cost = np.zeros(at.shape, dtype=np.int16)
+        beyond = diagonals[None, :] >= 2 * (edits[:, None] + 1)
+        cost = np.where(beyond, _BEYOND, np.int16(0))
         for i in range(padded.shape[1]):
             text = np.where((at >= low) & (at < high), codes[np.clip(at, 0, len(codes) - 1)], _NOTHING - np.uint32(1))
             new = cost + (text != padded[which, i][:, None])
             np.minimum(new[:, :-1], cost[:, 1:] + 1, out=new[:, :-1])  # a character of the pattern is missing
             cost = np.minimum.accumulate(new - steps, axis=1) + steps  # or the text has one more
+            cost[beyond] = _BEYOND
             at += 1
             ended = size == i + 1
             best = cost.min(axis=1) if i % 8 == 7 or ended.any() else None
@@ -263,7 +266,9 @@ def _band_fits(codes, starts, item, row, first, patterns):
                 fits[left[ended & (best <= edits)]] = True
                 on = ~ended & (best <= edits)
                 if not on.all():
-                    left, which, size, edits, cost, at = (x[on] for x in (left, which, size, edits, cost, at))
+                    left, which, size, edits, cost, at, beyond = (
+                        x[on] for x in (left, which, size, edits, cost, at, beyond)
+                    )
                     low, high = low[on], high[on]
                     if not len(left):
                         break
