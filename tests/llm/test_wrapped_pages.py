@@ -38,3 +38,24 @@ def test_articles_in_several_parts(around, part):
     assert html_text.main_text(page) == want
     alone = f"<body><div><article>{BODY}</article>{links * 3}<div><p>{'Other text. ' * 40}</p></div></div></body>"
     assert html_text.main_text(alone) == TEXT
+
+
+FIELDS = '<label>Your mail address</label><input name="m"><button>Send</button>'
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<form id="page" action="/">{BODY}</form>',
+        f'<form action="/"><main>{BODY}</main></form>',
+        f"<form><div><article>{BODY}</article></div><div>{FIELDS}</div></form>",
+        f"<form><nav>menu</nav><div>{BODY}</div><form><p>Subscribe</p>{FIELDS}</form></form>",
+        f"<article>{BODY}<form><p>Tell us what you think of this</p>{FIELDS}</form></article>",
+        f"<div>{BODY}</div><form class='signup'><p>Subscribe to our letter</p>{FIELDS}</form>",
+        f"<article>{BODY}</article><form>{COMMENTS}{FIELDS}</form>",
+        f"<fieldset>{BODY}</fieldset>",
+        f"<form><fieldset><div>{BODY}</div></fieldset></form>",
+    ],
+)
+def test_forms_around_the_article_and_in_it(page):
+    assert html_text.main_text(f"<html><body><nav>menu</nav>{page}<footer>f</footer></body></html>") == TEXT

@@ -42,8 +42,8 @@ _CLOSES = {
 }
 #: Elements that are never part of the main text.
 _NEVER = set(
-    "head script style noscript template nav footer aside form button select textarea input label"
-    " iframe object embed applet canvas audio video svg math map dialog menu fieldset datalist title"
+    "head script style noscript template nav footer aside button select textarea input label"
+    " iframe object embed applet canvas audio video svg math map dialog menu datalist title"
     " xmp noembed noframes".split()
 )
 _ROLES = set(
@@ -60,6 +60,8 @@ _AROUND = set(
     " pagination pager footer footnav colophon masthead topbar skip teaser teasers".split()
 )
 _AROUND_OUTSIDE = {"header"}
+#: Elements that may stand around an article or wrap it, and are set aside as a name would do it.
+_WRAPPERS = {"form", "fieldset"}
 #: A text with fewer characters outside links is not an article's.
 _LEAST_CHARS = 200
 _WORD = re.compile(r"[a-z0-9]+")
@@ -77,15 +79,16 @@ class _Node:
         self.parts = []  # texts and nodes in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
-        self.named = 0  # 1: a class or id has a word of _AROUND, 2: begins with one
+        self.named = 0  # 1: of _WRAPPERS, or a class or id has a word of _AROUND, 2: begins with one
 
 
 def _standing(tag, attributes, in_article):
     """Whether an element is never main text, and how its class and id name it."""
     if tag in _NEVER or (tag == "header" and not in_article):
         return True, 0
+    named = 1 if tag in _WRAPPERS else 0
     if tag in ("html", "body", "main") or not attributes:
-        return False, 0
+        return False, named
     found = {}
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), html.unescape(a or b or c).lower())
@@ -94,7 +97,6 @@ def _standing(tag, attributes, in_article):
     if found.get("role") in _ROLES or _HIDDEN.search(found.get("style", "")):
         return True, 0
     around = _AROUND if in_article else _AROUND | _AROUND_OUTSIDE
-    named = 0
     for token in (found.get("class", "") + " " + found.get("id", "")).split():
         words = [w.rstrip("0123456789") for w in _WORD.findall(token)]  # "ad-3" and "ad3" alike
         if words and words[0] in around:
