@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 from tillworks.llm import nearcopies, simhash
 
@@ -102,3 +103,43 @@ def test_odd_rows(spark):
         [(4, 4), (4, 4), (None, 4), (None, None), (7, 4)], key=str
     )
     assert nearcopies.near_copies(table(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 140, 1500, 20000])
+def test_sketches_tell_no_similar_sets_apart(size):
+    rng = np.random.default_rng(size)
+    for turn in range(60):
+        x = rng.integers(0, 2**64, size, dtype=np.uint64)
+        # Sets at the limit: a share of one is left out, or taken out of both on different places.
+        gone = rng.integers(0, size // 5 + 1) if turn % 2 else size // 5
+        a, b = (x, x[gone:]) if turn % 3 else (x[gone // 2 :], x[: size - gone // 2])
+        similar = len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+        told = nearcopies.may_reach(nearcopies.odd_sketch(a)[None], nearcopies.odd_sketch(b)[None], 0.8)
+        assert told[0] or not similar
+    other = rng.integers(0, 2**64, size, dtype=np.uint64)
+    if size <= 140:
+        assert not nearcopies.may_reach(
+            nearcopies.odd_sketch(x)[None], nearcopies.odd_sketch(other)[None], 0.8
+        )[0]
+
+
+def test_a_large_family_under_the_limit_gives_few_pairs(spark, monkeypatch):
+    """300 texts of one family, about 0.66 alike, with a few near copies among them."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(3000)}" for _ in range(200)]
+    texts = {k: edited(rng, base, 4) for k in range(300)}
+    for k in range(0, 300, 50):
+        texts[1000 + k] = edited(rng, texts[k].split(), 1)
+    late = []
+    near_pairs = nearcopies._near_pairs
+
+    def counted(members, least=None):
+        found = near_pairs(members, least)
+        if least is not None:
+            late.append(found.count())
+        return found
+
+    monkeypatch.setattr(nearcopies, "_near_pairs", counted)
+    got = nearcopies.near_copies(table(spark, texts.items())).collect()
+    assert {r.doc_id: r.component_id for r in got} == groups_by_hand(texts)
+    assert late and late[0] < 3 * len(texts)
