@@ -11,6 +11,7 @@ from registry import (  # noqa: F401  (importing a module registers its queries)
     ladders,
     live,
     marts,
+    published,
     quality,
     scalars,
     sinks,
