@@ -129,3 +129,40 @@ def test_row_groups_before_an_offset_are_skipped(spark, tmp_path):
         found = [k for b in held.read("batch=0000000000/part-0.parquet", low, count, 5) for k in b.column(0).to_pylist()]
         assert found == names[low : low + count]
     assert keys(offsets.read(spark, f"file:{tmp_path}/topic", limit=123)) == list(range(123))
+
+
+def test_a_read_decodes_only_the_row_groups_it_needs(spark, tmp_path, monkeypatch):
+    # Texts of random digits: 4 MB that do not shrink.
+    rows = spark.range(0, 4000, 1, 1).select(
+        F.col("id").cast("string").alias("key"),
+        F.concat(*[F.sha2(F.concat("id", F.lit(f"-{k}")), 512) for k in range(16)]).alias("value"),
+    )
+    folder = str(tmp_path / "topic")
+    offsets.append(rows, folder)
+    topic, asked = offsets._Topic(folder), []
+    name = topic.files()[-1]
+    opened = topic._parquet
+
+    class Watched:
+        def __init__(self, file):
+            self._file = file
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *error):
+            self._file.close()
+
+        def __getattr__(self, what):
+            return getattr(self._file, what)
+
+        def iter_batches(self, columns, row_groups):
+            asked.append(sum(self._file.metadata.row_group(k).num_rows for k in row_groups))
+            return self._file.iter_batches(columns=columns, row_groups=row_groups)
+
+    monkeypatch.setattr(topic, "_parquet", lambda n: Watched(opened(n)))
+    assert opened(name).num_row_groups > 2
+    for low in (0, 1500, 3990):
+        found = [int(k) for b in topic.read(name, low, 10, 0) for k in b.column(0).to_pylist()]
+        assert found == list(range(low, low + 10))
+    assert len(asked) == 3 and max(asked) < 2500

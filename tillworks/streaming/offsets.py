@@ -22,6 +22,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FORMAT = "record_topic"
 EARLIEST, LATEST = "earliest", "latest"
 _START = {"offset": 0, "file": "", "within": 0}
+#: Bytes of a row group. One is decoded from its start, so a read from within a file costs this
+#: much more than its records, however long the file is.
+GROUP = 1 << 20
 
 
 def append(records: DataFrame, folder: str) -> int:
@@ -40,7 +43,8 @@ def append(records: DataFrame, folder: str) -> int:
             if entry.getPath().getName().startswith("batch=") and system.exists(done):
                 complete.append(int(entry.getPath().getName()[6:]))
     number = max(complete) + 1
-    records.select("key", "value").write.mode("overwrite").parquet(f"{folder}/batch={number:010d}")
+    writer = records.select("key", "value").write.mode("overwrite").option("parquet.block.size", GROUP)
+    writer.parquet(f"{folder}/batch={number:010d}")
     return number
 
 
@@ -115,19 +119,19 @@ class _Topic:
         return out
 
     def read(self, name: str, low: int, count: int, offset: int) -> Iterator:
-        """Batches of records; row groups before the first record are not read."""
+        """Batches of records; only the row groups that hold some of them are read."""
         import numpy as np
         import pyarrow as pa
 
         with self._parquet(name) as file:
-            groups, before = [], 0
+            groups, before, skip = [], 0, 0
             for k in range(file.num_row_groups):
                 rows = file.metadata.row_group(k).num_rows
-                if before + rows <= low and not groups:
-                    before += rows
-                elif before < low + count:
+                if before < low + count and before + rows > low:
+                    skip = skip if groups else low - before
                     groups.append(k)
-            skip, left = low - before, count
+                before += rows
+            left = count
             for batch in file.iter_batches(columns=["key", "value"], row_groups=groups):
                 part = batch.slice(min(skip, batch.num_rows), left)
                 skip = max(0, skip - batch.num_rows)
