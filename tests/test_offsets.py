@@ -166,3 +166,14 @@ def test_a_read_decodes_only_the_row_groups_it_needs(spark, tmp_path, monkeypatc
         found = [int(k) for b in topic.read(name, low, 10, 0) for k in b.column(0).to_pylist()]
         assert found == list(range(low, low + 10))
     assert len(asked) == 3 and max(asked) < 2500
+
+
+def test_a_stream_reads_each_footer_once(spark, topic, monkeypatch):
+    held, opened = offsets._Topic(topic), []
+    real = held._parquet
+    monkeypatch.setattr(held, "_parquet", lambda n: opened.append(n) or real(n))
+    at = held.forward(dict(offsets._START), 100)
+    held.ranges(offsets._START, at)
+    end = held.forward(at, 200)
+    assert sum(r.value[2] for r in held.ranges(at, end)) == 150
+    assert len(opened) == len(set(opened)) == 3

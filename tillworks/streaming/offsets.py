@@ -52,7 +52,7 @@ class _Topic:
     """The files of a topic and their numbers of records, read as far as they are needed."""
 
     def __init__(self, folder: str):
-        self._folder = folder
+        self._folder, self._counts = folder, {}
 
     def _open(self):
         from pyarrow import fs
@@ -83,8 +83,11 @@ class _Topic:
         return parquet.ParquetFile(system.open_input_file(f"{base}/{name}"))
 
     def records(self, name: str) -> int:
-        with self._parquet(name) as file:
-            return file.metadata.num_rows
+        # Files of complete batches do not change: a stream asks for the same ones in every poll.
+        if name not in self._counts:
+            with self._parquet(name) as file:
+                self._counts[name] = file.metadata.num_rows
+        return self._counts[name]
 
     def forward(self, start: dict, limit: int | None = None) -> dict:
         """The offset that many records further on, or at the end of the topic."""
