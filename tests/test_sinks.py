@@ -92,6 +92,20 @@ def test_records_and_partitions(spark, tmp_path):
     assert sizes.agg(F.sum("records")).first()[0] == 100 and sizes.count() <= 4
 
 
+def test_records_of_a_topic_are_compressed(spark, tmp_path):
+    from tillworks.streaming import topics
+
+    rows = spark.range(0, 20000, 1, 2).select(
+        F.col("id").alias("order_id"), F.lit("new_order").alias("event_type"), F.sha2(F.col("id").cast("string"), 256).alias("customer_name")
+    )
+    records, folder = sinks.keyed_records(rows, "order_id"), tmp_path / "topic"
+    sinks.write_records(records, str(folder))
+    text = records.agg(F.sum(F.length("value"))).first()[0]
+    assert sum(f.stat().st_size for f in folder.glob("part-*")) < 0.75 * text
+    again = topics.file_batch(spark, str(folder), "order_id")
+    assert again.exceptAll(records).count() == 0 and again.count() == 20000
+
+
 def test_catalog_views(spark, t):
     names = t.register_views("v_")
     assert "v_user_events" in names and "v_orders" in names

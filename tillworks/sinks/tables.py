@@ -134,9 +134,15 @@ def publish_records(records: DataFrame, servers: str, topic: str, **options: str
     )
 
 
+#: Records of one file of a topic: compressed lines are read from their start, one task a file.
+RECORDS_PER_FILE = 500_000
+
+
 def write_records(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Write the values as JSON lines, the file form of a topic."""
-    records.select("value").write.mode(mode).text(path)
+    """Write the values as JSON lines, the file form of a topic. They repeat every field name, so
+    they are compressed; readers tell that from the names of the files."""
+    writer = records.select("value").write.mode(mode).option("maxRecordsPerFile", RECORDS_PER_FILE)
+    writer.text(path, compression="lz4")
 
 
 def keyed_partitions(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
