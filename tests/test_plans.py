@@ -1,5 +1,6 @@
 """What reaches the scan, what is shuffled, and what is broadcast."""
 
+import datetime
 import re
 
 import pytest
@@ -163,3 +164,21 @@ def test_hot_keys_are_split_at_run_time(spark, large):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_pairs_of_products_and_orders_are_not_gathered_into_few_tasks(spark):
+    lines = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 3), (3, None)], "product_id bigint, order_id bigint")
+    orders = spark.createDataFrame(
+        [(1, datetime.date(2000, 1, 1), 7), (2, datetime.date(2000, 3, 1), 8)],
+        "order_id bigint, order_date date, customer_id bigint",
+    )
+    customers = spark.createDataFrame([(7, "Peru"), (8, None)], "customer_id bigint, country string")
+    reach = marts._product_reach(lines, orders, customers)
+    first, last = datetime.date(2000, 1, 1), datetime.date(2000, 3, 1)
+    assert sorted(map(tuple, reach.collect())) == [
+        (1, 2, 2, 1, first, last, 2), (2, 1, 0, 0, None, None, 0), (3, 0, 0, 0, None, None, 0),
+    ]
+    plan = reach._jdf.queryExecution().executedPlan().toString()
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spread = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x]
+    assert spread and all(f", {tasks})" in x for x in spread)
