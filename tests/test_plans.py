@@ -174,11 +174,14 @@ def test_pairs_of_products_and_orders_are_not_gathered_into_few_tasks(spark):
     )
     customers = spark.createDataFrame([(7, "Peru"), (8, None)], "customer_id bigint, country string")
     reach = marts._product_reach(lines, orders, customers)
+    joined = marts._product_reach(joins.details_of(lines.hint("merge"), orders), orders, customers)
     first, last = datetime.date(2000, 1, 1), datetime.date(2000, 3, 1)
     assert sorted(map(tuple, reach.collect())) == [
         (1, 2, 2, 1, first, last, 2), (2, 1, 0, 0, None, None, 0), (3, 0, 0, 0, None, None, 0),
     ]
-    plan = reach._jdf.queryExecution().executedPlan().toString()
-    tasks = spark.conf.get("spark.sql.shuffle.partitions")
-    spread = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x]
-    assert spread and all(f", {tasks})" in x for x in spread)
+    assert sorted(tuple(r)[:4] for r in joined.collect()) == [(1, 2, 2, 1)]
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for df in (reach, joined):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        spread = [x for x in plan.splitlines() if "REPARTITION_BY_NUM" in x]
+        assert spread and all(int(x.split("), REPARTITION")[0].split(", ")[-1]) >= tasks for x in spread)
