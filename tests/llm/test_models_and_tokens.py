@@ -1,9 +1,11 @@
 """Language ID, quality, token counts and packing: libraries, held-out rows and odd input."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -145,6 +147,43 @@ def test_long_texts_are_cut_where_grams_end():
     assert "".join(cut) == "".join(t or "" for t in texts)
 
 
+def test_blocks_of_grams_are_the_grams_of_the_whole():
+    texts = ["Ab, c", None, "", "xyzé  été 12 Σa", ".", "日本語 テスト", "a"]
+    wanted = []
+    for row, text in enumerate(texts):
+        kept = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        kept = " " + " ".join(kept.split()) + " "
+        for n in (3, 4):
+            grams = [kept[i : i + n] for i in range(len(kept) - n + 1)]
+            wanted += [row for g in grams if " " not in g[1:-1]]
+    whole, owner = language.text_grams(texts)
+    assert sorted(owner.tolist()) == wanted
+    for block in (1, 2, 5, 1000):
+        found = list(language.gram_blocks(texts, block))
+        pairs = [x for grams, of in found for x in zip(of.tolist(), grams.tolist())]
+        assert sorted(pairs) == sorted(zip(owner.tolist(), whole.tolist()))
+        assert all(len(of) <= 2 * block for _, of in found)
+
+
+def test_language_works_on_blocks_of_bounded_memory():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(4000)) for _ in range(100)]
+    column, names = pa.array(texts), ["lang", "text"]
+    labelled = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), column], names=names)
+    model = language.build_filter(["en"], np.zeros(0, np.uint64), np.zeros(0, np.int64), 2)
+    ids = pa.array(range(len(texts)), pa.int64())
+    rows = pa.RecordBatch.from_arrays([ids, column, ids], names=["doc_id", "text", "carried"])
+    for work in (language._counted([labelled]), language._predict([rows], model)):
+        tracemalloc.start()
+        try:
+            for _ in work:
+                pass
+            assert tracemalloc.get_traced_memory()[1] < 60 << 20
+        finally:
+            tracemalloc.stop()
+
+
 def test_filter_answers_for_all_languages():
     rng = np.random.default_rng(1)
     names = [f"l{k}" for k in range(70)]  # more than one word of bits

@@ -13,8 +13,10 @@ from tillworks.llm.arrowtext import carried_columns, mix, slices
 UNKNOWN = "und"
 _FACTORS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _PROBES = 3
-#: Text that is worked on at once: n-grams take about a hundred times its size in memory.
+#: Text that is worked on at once.
 _SLICE = 1 << 20
+#: Characters whose n-grams are in memory at once: they take about a hundred times their size.
+_BLOCK = 1 << 17
 
 
 @dataclass
@@ -51,8 +53,9 @@ def build_filter(languages, grams, owners, cells: int = 1 << 20) -> LanguageFilt
     return LanguageFilter(list(languages), table, fill**_PROBES)
 
 
-def text_grams(texts):
-    """Hashes of the 3- and 4-grams of letters of each text, and the text that each is from.
+def gram_blocks(texts, block: int = _BLOCK):
+    """Hashes of the 3- and 4-grams of letters of each text, and the text that each is from, in
+    arrays of the n-grams that begin in ``block`` characters.
 
     Letters are lower-cased; whatever lies between letters is one boundary, which a gram may have
     at its ends only.
@@ -67,15 +70,25 @@ def text_grams(texts):
     keep = letter.copy()
     keep[1:] |= letter[:-1]
     keep[0] = True
-    owner = np.repeat(np.arange(len(lowered)), lengths)[np.flatnonzero(keep)[1:] - 1]
-    owner = np.concatenate(([0], owner))
-    code = np.where(letter, codes, 0)[keep].astype(np.uint64)
-    inner = code != 0
-    three = code[:-2] * _FACTORS[0] + code[1:-1] * _FACTORS[1] + code[2:] * _FACTORS[2]
-    four = three[:-1] + code[3:] * _FACTORS[3] if len(code) > 3 else three[:0]
-    take3, take4 = inner[1:-1], inner[1:-2] & inner[2:-1]
-    grams = np.concatenate((mix(three[take3]), mix(~four[take4])))
-    return grams, np.concatenate((owner[1:-1][take3], owner[1:-2][take4]))
+    owners = np.zeros(int(np.count_nonzero(keep)), dtype=np.int32)
+    owners[1:] = np.repeat(np.arange(len(lowered), dtype=np.int32), lengths)[keep[1:]]
+    kept = np.where(letter, codes, np.uint32(0))[keep]
+    del codes, letter, keep
+    for low in range(0, len(kept) - 2, block):
+        code = kept[low : low + block + 3].astype(np.uint64)
+        owner, inner = owners[low + 1 : low + len(code)], code != 0
+        n3, n4 = min(block, len(code) - 2), min(block, len(code) - 3)
+        three = code[:n3] * _FACTORS[0] + code[1 : n3 + 1] * _FACTORS[1] + code[2 : n3 + 2] * _FACTORS[2]
+        four = three[:n4] + code[3 : n4 + 3] * _FACTORS[3]
+        take3, take4 = inner[1 : n3 + 1], inner[1 : n4 + 1] & inner[2 : n4 + 2]
+        grams = np.concatenate((mix(three[take3]), mix(~four[take4])))
+        yield grams, np.concatenate((owner[:n3][take3], owner[:n4][take4]))
+
+
+def text_grams(texts):
+    """All n-grams of ``gram_blocks`` at once."""
+    blocks = [(np.zeros(0, np.uint64), np.zeros(0, np.int32)), *gram_blocks(texts)]
+    return tuple(np.concatenate(x) for x in zip(*blocks))
 
 
 def pieces(texts, limit: int = _SLICE):
@@ -106,20 +119,19 @@ def pieces(texts, limit: int = _SLICE):
 
 
 def _counted(batches):
-    """n-grams of labelled texts with their counts, summed per group of pieces."""
+    """n-grams of labelled texts with their counts, summed per block of n-grams."""
     for batch in batches:
         for part in slices(batch, "text", _SLICE):
             names = part.column(0).to_pylist()
             place = {name: i for i, name in enumerate(dict.fromkeys(names))}
             languages = np.array([place[n] for n in names], dtype=np.int64)
             for rows, texts in pieces(part.column(1).to_pylist()):
-                yield _grams_of(languages[rows], list(place), texts)
+                for grams, owner in gram_blocks(texts):
+                    yield _grams_of(languages[rows[owner]], list(place), grams)
 
 
-def _grams_of(languages, names, texts):
-    """One row per language and n-gram of the texts, with its count."""
-    grams, owner = text_grams(texts)
-    language = languages[owner]
+def _grams_of(language, names, grams):
+    """One row per language and n-gram, with its count."""
     order = np.lexsort((grams, language))
     grams, language = grams[order], language[order]
     new = np.ones(len(grams), dtype=bool)
@@ -189,13 +201,13 @@ def _predict(batches, model):
             n = part.num_rows
             total, hits = np.zeros(n), np.zeros((len(model.languages), n))
             for rows, texts in pieces(part.column(1).to_pylist()):
-                grams, owner = text_grams(texts)
-                owner = rows[owner]
-                total += np.bincount(owner, minlength=n)
-                masks = model.masks(grams)
-                for i in range(len(model.languages)):
-                    bit = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
-                    hits[i] += np.bincount(owner, weights=bit, minlength=n)
+                for grams, owner in gram_blocks(texts):
+                    owner = rows[owner]
+                    total += np.bincount(owner, minlength=n)
+                    masks = model.masks(grams)
+                    for i in range(len(model.languages)):
+                        bit = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
+                        hits[i] += np.bincount(owner, weights=bit, minlength=n)
             best, pick = np.full(n, -1.0), np.full(n, len(model.languages))
             for i, wrong in enumerate(model.wrong):
                 corrected = (hits[i] / np.maximum(total, 1) - wrong) / (1 - wrong)

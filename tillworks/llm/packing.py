@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tillworks.llm.arrowtext import slices
 from tillworks.llm.storage import stored
 
+#: Bytes of text that are cut into words at once: these take some fifteen times their size.
+_SLICE = 1 << 20
 #: Words whose ids a task remembers; then it starts again.
 _REMEMBERED = 600_000
 #: Texts with one of these are cut as a whole: strings of special tokens, and characters that
@@ -120,7 +122,7 @@ def _encoded(batches, path, end):
     task, at = TaskContext.get().partitionId(), 0
     last = np.array([end], dtype=kind).tobytes()
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", _SLICE):
             texts = ["" if t is None else t for t in part.column(1).to_pylist()]
             ids = [x + last for x in encode(texts)]
             counts = np.array([len(x) // kind.itemsize for x in ids], dtype=np.int64)
