@@ -162,6 +162,26 @@ def test_components(spark):
     assert graph.connected_components(edges.where("a = 0")).count() == 0
 
 
+def test_components_end_with_stars(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(graph, "stored", lambda df, keep=graph.stored: rounds.append(df) or keep(df))
+    stars = [(9, 2), (2, 7), (5, 3), (3, 5), (None, 4), (6, 6)]
+    edges = spark.createDataFrame(stars, "a bigint, b bigint")
+    got = sorted(tuple(r) for r in graph.connected_components(edges).collect())
+    assert got == [(2, 2), (3, 3), (5, 3), (7, 2), (9, 2)] and len(rounds) == 1
+
+    rng = random.Random(4)
+    for ends, n in ((40, 30), (60, 90)):
+        pairs = [(rng.randrange(ends), rng.randrange(ends)) for _ in range(n)]
+        root = {x: x for pair in pairs for x in pair}
+        for _ in root:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        linked = {x for a, b in pairs if a != b for x in (a, b)}
+        got = dict(tuple(r) for r in graph.connected_components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect())
+        assert got == {x: root[x] for x in linked}
+
+
 def lines_by_hand(rows, least):
     blank = " \t\r\v\f"
     sites, first = {}, {}

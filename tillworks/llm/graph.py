@@ -11,6 +11,17 @@ def _smallest_neighbours(both: DataFrame) -> DataFrame:
     return both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether each vertex with an edge to a smaller one has no other, and that one none at all."""
+    ends = F.array(
+        F.struct(F.col("a").alias("v"), F.lit(1).alias("down"), F.lit(0).alias("up")),
+        F.struct(F.col("b").alias("v"), F.lit(0).alias("down"), F.lit(1).alias("up")),
+    )
+    met = edges.select(F.explode(ends).alias("e")).groupBy("e.v")
+    met = met.agg(F.sum("e.down").alias("down"), F.max("e.up").alias("up"))
+    return met.where("down > 1 or down = 1 and up = 1").isEmpty()
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """The component of every vertex with an edge, as ``(vertex, component_id)``.
 
@@ -18,18 +29,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
     matter, and rows with a null are ignored. The component's id is its smallest vertex. An empty
     table gives an empty table.
 
-    Large-star and small-star steps take turns until nothing changes: each links a vertex's
+    Large-star and small-star steps take turns until only stars are left: each links a vertex's
     neighbours to the smallest among them, so the graph shrinks to stars in a few rounds, also
-    for long chains. A vertex with very many neighbours is a minimum (taken before the shuffle)
-    and a join that adaptive execution can split. Each round is kept in the shared folder.
+    for long chains. Edges lead to smaller vertices, so a star's centre is its smallest. A vertex
+    with very many neighbours is a minimum (taken before the shuffle) and a join that adaptive
+    execution can split. Each round is kept in the shared folder.
     """
     edges = (
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         .where("a is not null and b is not null and a <> b")
         .distinct()
     )
-    edges, before = stored(edges), None
-    while True:
+    edges = stored(edges)
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         star = _smallest_neighbours(both)
         # Large star: larger neighbours of a vertex are linked to the smallest one.
@@ -50,14 +62,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
             ).alias("e")
         )
         edges = stored(small.select("e.a", "e.b").where("a <> b").distinct())
-        now = edges.agg(
-            F.count("*"),
-            F.sum(F.col("b").cast("decimal(38,0)")),
-            F.bit_xor(F.xxhash64("a", "b")),
-        ).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select("b").distinct()
     return edges.select(F.col("a").alias("vertex"), F.col("b").alias("component_id")).unionByName(
         roots.select(F.col("b").alias("vertex"), F.col("b").alias("component_id"))
