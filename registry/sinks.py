@@ -217,11 +217,7 @@ POLL = 8000
 def _polled(t, folder, handle):
     """Read a topic to its end in polls, and return the checkpoint."""
     marks = _folder(t, "marks")
-    records = offsets.stream(t.spark, folder, limit=POLL)
-    writer = records.writeStream.foreachBatch(handle).option("checkpointLocation", marks)
-    running = writer.trigger(processingTime="0 seconds").start()
-    running.processAllAvailable()
-    running.stop()
+    offsets.read_in_polls(t.spark, folder, marks, handle, POLL)
     return marks
 
 

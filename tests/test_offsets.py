@@ -1,6 +1,7 @@
 """Topics with record offsets: reads, polls of exact size, restarts, committed offsets and lag."""
 
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,6 +84,49 @@ def test_committed_offsets_and_lag(spark, topic, tmp_path):
     assert offsets.group_lag(spark, topic, marks).collect() == [(250, 280, 30)]
 
 
+def test_a_group_of_readers_takes_the_polls_of_one_query(spark, topic, tmp_path, monkeypatch):
+    monkeypatch.setattr(offsets, "FEWEST", 2)
+    marks, got, broken, together = str(tmp_path / "marks"), {}, [5], threading.Barrier(3)
+    offsets.append(records(spark, 250, 333), topic)
+
+    def handle(batch, number):
+        if number in (0, 3, 6) and broken:
+            together.wait(60)  # the first polls of three stretches are at work at once
+        if number in broken:
+            raise ValueError("lost")
+        got.setdefault(number, []).append(sorted(r.offset for r in batch.collect()))
+
+    with pytest.raises(Exception, match="lost"):
+        offsets.read_in_polls(spark, topic, marks, handle, 50, readers=3)
+    # Seven polls of 50: three stretches of three, three and one; the second stops at its last poll.
+    assert sorted(got) == [0, 1, 2, 3, 4, 6]
+    assert offsets.group_lag(spark, topic, marks).collect() == [(250, 333, 83)]
+    broken.clear()
+    offsets.append(records(spark, 0, 20), topic)
+    offsets.read_in_polls(spark, topic, marks, handle, 50, readers=3)
+    assert got == {
+        **{k: [list(range(50 * k, 50 * k + 50))] for k in range(6)}, 6: [list(range(300, 333))], 7: [list(range(333, 353))]
+    }
+    assert offsets.group_lag(spark, topic, marks).collect() == [(353, 353, 0)]
+    found = sorted(map(tuple, offsets.progress(spark, marks).collect()))
+    assert found == [(k, True, min(50 * k + 50, 333)) for k in range(7)] + [(7, True, 353)]
+    offsets.read_in_polls(spark, topic, marks, handle, 50, readers=3)
+    assert sorted(got) == list(range(8)) and all(len(g) == 1 for g in got.values())
+
+
+def test_a_group_on_an_empty_topic(spark, tmp_path):
+    folder, marks, got = str(tmp_path / "topic"), str(tmp_path / "marks"), []
+    offsets.append(records(spark, 0, 0), folder)
+    offsets.read_in_polls(spark, folder, marks, lambda batch, number: got.append((number, batch.count())), 50)
+    assert got == [(0, 0)]
+    assert offsets.group_lag(spark, folder, marks).collect() == [(0, 0, 0)]
+    offsets.append(records(spark, 0, 20), folder)
+    assert offsets.group_lag(spark, folder, marks).collect() == [(0, 20, 20)]
+    offsets.read_in_polls(spark, folder, marks, lambda batch, number: got.append((number, batch.count())), 50)
+    assert got[-1] == (1, 20)
+    assert offsets.group_lag(spark, folder, marks).collect() == [(20, 20, 0)]
+
+
 def test_a_batch_that_fails_is_not_committed(spark, topic, tmp_path):
     marks, got = str(tmp_path / "marks"), []
 

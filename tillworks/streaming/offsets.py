@@ -9,9 +9,12 @@ stays small however long the topic gets. How many records a file holds is in its
 import json
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+from typing import NamedTuple
 
-from pyspark import cloudpickle
+from pyspark import cloudpickle, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -25,6 +28,9 @@ _START = {"offset": 0, "file": "", "within": 0}
 #: Bytes of a row group. One is decoded from its start, so a read from within a file costs this
 #: much more than its records, however long the file is.
 GROUP = 1 << 20
+#: Queries that read a topic side by side at most, and the polls that make one worth its start.
+READERS = 8
+FEWEST = 16
 
 
 def append(records: DataFrame, folder: str) -> int:
@@ -165,14 +171,15 @@ class _BatchReader(DataSourceReader):
 
 
 class _StreamReader(DataSourceStreamReader):
-    """Gives at most ``limit`` records per batch.
+    """Gives at most ``limit`` records per batch, and none behind the offset ``until``.
 
     The position is where the last planned batch ended. After a restart Spark plans the last batch
     of the checkpoint again before it asks for a new offset, which brings the position back.
     """
 
-    def __init__(self, folder, starting, limit):
-        self._topic, self._starting, self._limit, self._at = _Topic(folder), starting, limit, None
+    def __init__(self, folder, starting, limit, until):
+        self._topic, self._starting, self._limit = _Topic(folder), starting, limit
+        self._until, self._at = until, None
 
     def initialOffset(self):
         return _starting(self._topic, self._starting)
@@ -180,7 +187,12 @@ class _StreamReader(DataSourceStreamReader):
     def latestOffset(self):
         if self._at is None:
             self._at = self.initialOffset()
-        self._at = self._topic.forward(self._at, self._limit)
+        limit = self._limit
+        if self._until is not None:
+            left = max(0, self._until - self._at["offset"])
+            limit = left if limit is None else min(limit, left)
+        if limit != 0:
+            self._at = self._topic.forward(self._at, limit)
         return self._at
 
     def partitions(self, start, end):
@@ -196,8 +208,9 @@ class RecordTopic(DataSource):
     """``spark.read`` and ``spark.readStream`` format ``record_topic``.
 
     Options: ``path``; ``startingOffsets`` (``earliest``, ``latest`` or an offset as JSON);
-    ``maxRecords``, the records of one read or, for a stream, of one batch. A stream keeps its
-    offsets in its checkpoint, and ``startingOffsets`` counts for a new one only.
+    ``maxRecords``, the records of one read or, for a stream, of one batch; ``untilOffset``, the
+    number of the record before which a stream ends (none: it goes on with what is added). A stream
+    keeps its offsets in its checkpoint, and ``startingOffsets`` counts for a new one only.
     """
 
     @classmethod
@@ -216,7 +229,8 @@ class RecordTopic(DataSource):
         return _BatchReader(*self._settings())
 
     def streamReader(self, schema):
-        return _StreamReader(*self._settings())
+        until = self.options.get("untiloffset") or self.options.get("untilOffset")
+        return _StreamReader(*self._settings(), int(until) if until else None)
 
 
 def _configured(reader, folder, starting, limit):
@@ -230,10 +244,14 @@ def read(spark: SparkSession, folder: str, starting: str = EARLIEST, limit: int
     return _configured(spark.read, folder, starting, limit).load()
 
 
-def stream(spark: SparkSession, folder: str, starting: str = EARLIEST, limit: int | None = None) -> DataFrame:
-    """The records of a topic as a stream, at most ``limit`` of them in one batch."""
+def stream(
+    spark: SparkSession, folder: str, starting: str = EARLIEST, limit: int | None = None, until: int | None = None
+) -> DataFrame:
+    """The records of a topic as a stream, at most ``limit`` of them in one batch, and none from
+    the record number ``until`` on."""
     spark.dataSource.register(RecordTopic)
-    return _configured(spark.readStream, folder, starting, limit).load()
+    reader = _configured(spark.readStream, folder, starting, limit)
+    return (reader if until is None else reader.option("untilOffset", until)).load()
 
 
 def latest(folder: str) -> str:
@@ -241,31 +259,139 @@ def latest(folder: str) -> str:
     return json.dumps(_Topic(folder).forward(_START))
 
 
-def progress(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """``batch_id, committed, offset`` of every batch in a query's checkpoint: which batches were
-    planned, which are committed, and up to which record. It reads the query's own logs, so it can
-    be asked while the query runs and after it has ended."""
-    number = F.regexp_extract(F.input_file_name(), r"/(\d+)$", 1).cast("bigint")
+class _Stretch(NamedTuple):
+    """Polls ``first`` and on, of ``limit`` records each, from record ``start`` to ``end``."""
+
+    first: int
+    start: int
+    end: int
+    limit: int
+
+    @property
+    def name(self) -> str:
+        return "stretch=" + "-".join(map(str, self))
+
+    @property
+    def polls(self) -> int:
+        return max(1, -(-(self.end - self.start) // self.limit))
+
+
+def _path(spark: SparkSession, place: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _stretches(spark: SparkSession, checkpoint: str) -> list[_Stretch]:
+    """What the readers of a group were given, in order; nothing for the checkpoint of one query."""
+    system, path = _path(spark, checkpoint)
+    names = [f.getPath().getName() for f in system.listStatus(path)] if system.exists(path) else []
+    return sorted(_Stretch(*map(int, n[8:].split("-"))) for n in names if n.startswith("stretch="))
+
+
+def _reached(spark: SparkSession, checkpoint: str, stretches: list[_Stretch]) -> dict[_Stretch, int]:
+    """The offset that each reader of a group has committed; without a commit that of its start."""
+    reached = {s.name: s.start for s in stretches}
+    system, logs = _path(spark, f"{checkpoint}/stretch=*/commits/[0-9]*")
+    if system.globStatus(logs):
+        done = _batches(spark, checkpoint, "stretch=*/").where("committed")
+        # One row per reader.
+        reached |= dict(map(tuple, done.groupBy("stretch").agg(F.max("offset")).collect()))
+    return {s: reached[s.name] for s in stretches}
+
+
+def read_in_polls(
+    spark: SparkSession,
+    folder: str,
+    checkpoint: str,
+    handle: Callable[[DataFrame, int], None],
+    limit: int,
+    readers: int = READERS,
+) -> None:
+    """Read a topic to its present end in polls of ``limit`` records, and ``handle(batch, number)``
+    each of them.
+
+    One query takes one poll after the other, which costs its time however little they hold. So a
+    group of up to ``readers`` queries reads stretches of the topic side by side. The polls are
+    those of one query and have its numbers, but those of different stretches come in no order, and
+    ``handle`` may be at work on several at once. Each stretch has a checkpoint of its own under
+    ``checkpoint``. Called again, readers that did not reach their end go on from there, and
+    records that came since are read in new stretches.
+    """
+    topic = _Topic(folder)
+    given, end = _stretches(spark, checkpoint), topic.forward(_START)["offset"]
+    number, at = (given[-1].first + given[-1].polls, given[-1].end) if given else (0, 0)
+    if end > at or not given:
+        polls = max(1, -(-(end - at) // limit))
+        each = max(FEWEST, -(-polls // readers))
+        for k in range(0, polls, each):
+            some = _Stretch(number + k, at + k * limit, min(end, at + (k + each) * limit), limit)
+            # In order, before any is read: whatever is there has no gap.
+            system, path = _path(spark, f"{checkpoint}/{some.name}")
+            system.mkdirs(path)
+            given.append(some)
+
+    # Spark changes the environment kept with a registered source when a query of it starts, while
+    # tasks of others are sent with it. So each reader gets a registration of its own.
+    registering = Lock()
+
+    def run(some: _Stretch) -> None:
+        starting = json.dumps(topic.forward(_START, some.start))
+        with registering:
+            records = stream(spark, folder, starting, some.limit, some.end)
+        writer = records.writeStream.foreachBatch(lambda batch, k: handle(batch, some.first + k))
+        marks = f"{checkpoint}/{some.name}"
+        running = writer.option("checkpointLocation", marks).trigger(processingTime="0 seconds").start()
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+
+    open_ = [s for s, done in _reached(spark, checkpoint, given).items() if done < s.end or not s.end]
+    with ThreadPoolExecutor(readers) as pool:
+        list(pool.map(inheritable_thread_target(spark)(run), open_))
+
+
+def _batches(spark: SparkSession, checkpoint: str, group: str = "") -> DataFrame:
+    """``stretch, batch_id, committed, offset`` from the logs of a query, or of a group's queries."""
+    place = F.input_file_name()
+    stretch = F.regexp_extract(place, r"/(stretch=[^/]*)/\w+/\d+$", 1)
+    first = F.coalesce(F.regexp_extract(stretch, r"=(\d+)", 1).try_cast("bigint"), F.lit(0))
+    number = F.regexp_extract(place, r"/(\d+)$", 1).cast("bigint") + first
     logs = {
-        name: spark.read.text(f"{checkpoint}/{name}", pathGlobFilter="[0-9]*", wholetext=True).select(
-            number.alias("batch_id"), "value"
+        name: spark.read.text(f"{checkpoint}/{group}{name}", pathGlobFilter="[0-9]*", wholetext=True).select(
+            stretch.alias("stretch"), number.alias("batch_id"), "value"
         )
         for name in ("offsets", "commits")
     }
     last_line = F.element_at(F.split(F.rtrim("value"), "\n"), -1)
-    planned = logs["offsets"].select("batch_id", F.get_json_object(last_line, "$.offset").cast("bigint").alias("offset"))
+    offset = F.get_json_object(last_line, "$.offset").cast("bigint").alias("offset")
+    planned = logs["offsets"].select("stretch", "batch_id", offset)
     commits = logs["commits"].select("batch_id", F.lit(True).alias("committed"))
     return planned.join(commits, "batch_id", "left").select(
-        "batch_id", F.coalesce("committed", F.lit(False)).alias("committed"), "offset"
+        "stretch", "batch_id", F.coalesce("committed", F.lit(False)).alias("committed"), "offset"
     )
 
 
+def progress(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``batch_id, committed, offset`` of every batch in a query's checkpoint: which batches were
+    planned, which are committed, and up to which record. It reads the query's own logs, so it can
+    be asked while the query runs and after it has ended. The batches of a group are its polls."""
+    group = "stretch=*/" if _stretches(spark, checkpoint) else ""
+    return _batches(spark, checkpoint, group).drop("stretch")
+
+
 def group_lag(spark: SparkSession, folder: str, checkpoint: str) -> DataFrame:
     """One row: the offset that a query has committed, the topic's latest one, and the lag between
-    them in records. A query without a commit has committed 0."""
-    end = json.loads(latest(folder))["offset"]
-    done = progress(spark, checkpoint).agg(
-        F.coalesce(F.max(F.when(F.col("committed"), F.col("offset"))), F.lit(0)).alias("committed_offset")
-    )
-    newest = F.lit(end).cast("bigint")
+    them in records. A query without a commit has committed 0. A group has committed what is
+    committed without a gap."""
+    newest = F.lit(json.loads(latest(folder))["offset"]).cast("bigint")
+    stretches = _stretches(spark, checkpoint)
+    if stretches:
+        reached = _reached(spark, checkpoint, stretches)
+        upto = next((done for s, done in reached.items() if done < s.end), stretches[-1].end)
+        done = spark.range(1).select(F.lit(upto).cast("bigint").alias("committed_offset"))
+    else:
+        done = progress(spark, checkpoint).agg(
+            F.coalesce(F.max(F.when(F.col("committed"), F.col("offset"))), F.lit(0)).alias("committed_offset")
+        )
     return done.select("committed_offset", newest.alias("latest_offset"), (newest - F.col("committed_offset")).alias("lag"))
