@@ -127,6 +127,15 @@ def test_a_group_on_an_empty_topic(spark, tmp_path):
     assert offsets.group_lag(spark, folder, marks).collect() == [(20, 20, 0)]
 
 
+def test_the_lag_of_a_group_is_what_came_after_all_its_readers(spark, topic, tmp_path, monkeypatch):
+    monkeypatch.setattr(offsets, "FEWEST", 1)
+    marks = tmp_path / "marks"
+    offsets.read_in_polls(spark, topic, str(marks), lambda batch, number: batch.write.format("noop").mode("overwrite").save(), 100)
+    assert sorted(p.name for p in marks.iterdir()) == ["stretch=0-0-100-100", "stretch=1-100-200-100", "stretch=2-200-250-100"]
+    offsets.append(records(spark, 0, 30), topic)
+    assert offsets.group_lag(spark, topic, str(marks)).collect() == [(250, 280, 30)]
+
+
 def test_a_batch_that_fails_is_not_committed(spark, topic, tmp_path):
     marks, got = str(tmp_path / "marks"), []
 
